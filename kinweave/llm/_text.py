@@ -11,6 +11,7 @@ Words and n-grams are named by 64-bit hashes; equal text gives equal hashes on e
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,10 @@ _ALNUM = np.zeros(256, dtype=bool)
 _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 SPACED, ALNUM = "spaced", "alnum"
 
-_powers: dict[str, np.ndarray] = {}
+
+def _tables() -> dict:
+    """The worker process's own tables (functions travel by value, so a module's globals last for a task only)."""
+    return sys.__dict__.setdefault("_kinweave_tables", {})
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -44,14 +48,15 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
+    tables = _tables()
+    if len(tables.get("up", ())) < n:
         size = max(n, CHUNK_BYTES + 1)
         with np.errstate(over="ignore"):
             for name, base in (("up", _P), ("down", _P_INV)):
                 out = np.full(size, U64(base))
                 out[0] = 1
-                _powers[name] = np.cumprod(out)
-    return _powers["up"], _powers["down"]
+                tables[name] = np.cumprod(out)
+    return tables["up"], tables["down"]
 
 
 def _byte_values() -> np.ndarray:

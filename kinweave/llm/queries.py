@@ -4,18 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinweave.llm._spark import table
+from kinweave.llm.bpe import bpe_encode
+from kinweave.llm.decontaminate import contamination
+from kinweave.llm.language_id import fit_language_id, identify_language
+from kinweave.llm.licenses import license_scan
 from kinweave.llm.near_dedup import near_duplicates
+from kinweave.llm.toxicity import fit_toxicity, score_toxicity
+
+
+def remainder(n: int) -> Column:
+    """crc32 of doc_id as text, modulo n; null for a null doc_id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def held_out(n: int, which: int) -> Column:
+    return F.coalesce(remainder(n) == which, F.lit(False)).alias("held_out")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_language_id(docs.where(remainder(4) != 2))
+    return identify_language(docs, model).select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), digests=True)
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrase_starts").cast("long").alias("n_base"),
+        F.try_element_at("phrase_starts", F.lit(1)).alias("first_word"),
+        F.try_element_at("phrase_starts", F.lit(-1)).alias("last_word"),
+        F.array_join("phrase_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), train=remainder(5) != 0)
+    return score_toxicity(docs, model).select("doc_id", held_out(5, 0), "score", "predicted")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("item_ids", lambda x: x.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_near_dedup": op4_near_dedup,
+    f.__name__: f
+    for f in (op3_language_id, op4_near_dedup, op5_byte_bpe, op7_license_scan, op9_toxicity, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
