@@ -135,28 +135,72 @@ def _open_members(members: DataFrame) -> DataFrame:
     return members.join(several, "bucket", "left_semi")
 
 
+def _shingles(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, comp, area) with a row for each shingle h of theirs, and their number n."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows:
+            sizes = np.array([len(x.as_buffer()) // 8 for x in batch["hashes"]], dtype=np.int64)
+            flat = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in batch["hashes"]])
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            at = pa.array(row)
+            out = pa.RecordBatch.from_arrays([*(batch[c].take(at) for c in ("doc_id", "comp", "area")), pa.array(sizes[row]), pa.array(flat)], ["doc_id", "comp", "area", "n", "h"])
+            for lo in range(0, len(row), 50_000):
+                yield out.slice(lo, 50_000)
+
+    return map_arrow(docs.join(sets, "doc_id").select("doc_id", "comp", "area", "hashes"), run, "doc_id long, comp long, area long, n long, h long")
+
+
 def _can_link(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Documents of ``members`` of whose shingles enough occur in other components.
+    """Documents of ``members`` that may have a link outside their component.
 
-    A link needs an intersection of num/den of either set, so a document with fewer such shingles
-    has no link outside its component: an exact rejection that costs one pass over the open documents' shingles.
+    A link needs an intersection of num/den of either set, so a document with fewer shingles that occur in other
+    components has none: an exact rejection that costs one pass over the open documents' shingles.
     """
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(x.as_buffer()) // 8 for x in batch["hashes"]], dtype=np.int64)
-        flat = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in batch["hashes"]]) if len(sizes) else np.zeros(0, np.int64)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        out = pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(row)), batch["comp"].take(pa.array(row)), pa.array(sizes[row]), pa.array(flat)], ["doc_id", "comp", "n", "h"])
-        for at in range(0, len(row), 50_000):
-            yield out.slice(at, 50_000)
-
-    open_docs = members.select("doc_id", "comp").distinct()
-    shingles = map_arrow(open_docs.join(sets, "doc_id"), run, "doc_id long, comp long, n long, h long")
+    shingles = _shingles(members.select("doc_id", "comp", F.lit(0).cast("long").alias("area")).distinct(), sets)
     across = shingles.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
     shared = shingles.join(across, "h", "left_semi").groupBy("doc_id").agg(F.count("*").alias("c"), F.max("n").alias("n"))
     return shared.where(F.col("c") * den >= F.col("n") * num).select("doc_id")
 
 
+def _across(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of ``members`` that hold every link between components, and few others.
+
+    Buckets that share members form areas. Let P be the shingles of at least half of an area's documents. Two sets share
+    at most min(|A & P|, |B & P|) shingles of P; if that is too few for a link, they must share one outside P. So the
+    pairs are those with enough of P on both sides, and those that meet in a shingle outside P, which is never the
+    area's common text.
+    """
+    hubs = members.groupBy("bucket").agg(F.min("doc_id").alias("a"))
+    areas = connected_components(members.join(hubs, "bucket").select("a", F.col("doc_id").alias("b")))
+    docs = cut(members.select("doc_id", "comp").distinct().join(areas.select(F.col("node").alias("doc_id"), F.col("component").alias("area")), "doc_id"))
+    shingles = stored(_shingles(docs, sets))
+    sizes = docs.groupBy("area").agg(F.count("*").alias("docs"))
+    uses = shingles.groupBy("area", "h").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    uses = cut(uses.where("lo <> hi").join(sizes, "area").select("area", "h", (F.col("df") * 2 >= F.col("docs")).alias("common")))
+    known = cut(shingles.join(uses, ["area", "h"]))
+    common = known.where("common").groupBy("doc_id", "comp", "area", "n").agg(F.count("*").alias("c")).where(F.col("c") * den >= F.col("n") * num)
+    x, y = (known.where("not common").select(*(F.col(c).alias(c + s) for c in ("area", "h", "doc_id", "comp", "n"))) for s in "xy")
+    fits = (F.col("doc_idx") < F.col("doc_idy")) & (F.col("compx") != F.col("compy")) & (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num)
+    rare = x.join(y, (x["areax"] == y["areay"]) & (x["hx"] == y["hy"]) & fits).select("doc_idx", "doc_idy")
+    x, y = (common.select(*(F.col(c).alias(c + s) for c in ("area", "doc_id", "comp", "n", "c"))) for s in "xy")
+    enough = F.least("cx", "cy") * (num + den) >= (F.col("nx") + F.col("ny")) * num
+    near = x.join(y, (x["areax"] == y["areay"]) & fits & enough).select("doc_idx", "doc_idy")
+    return rare.unionByName(near).distinct().select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b"))
+
+
+def _placed(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members (bucket, doc_id) with their component."""
+    return members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
+
+
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after some more links."""
+    if links.isEmpty():
+        return groups
+    return cut(connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN, bins: int = BINS, rows: int = ROWS) -> DataFrame:
     """Groups of near-duplicate documents.
 
@@ -168,8 +212,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     * Classes fall into buckets by bands of a one-permutation sketch. Each bucket proposes a star: its smallest member
       with every other. Stars are confirmed on full sets; components follow.
     * A star can miss a link between two of its leaves. Buckets that still hold several components are therefore
-      finished exactly: documents that provably have no link outside their component go (see ``_can_link``), and the
-      rest are compared across components, each pair once.
+      finished exactly: documents that provably have no link outside their component go (see ``_can_link``), and of the
+      rest the pairs that can still link are compared (see ``_across``).
 
     Null or empty texts have no set and are linked with nothing. Rows with a null doc_id are not linked: their
     component is null and they are kept. Rows that share a doc_id count as one document and all get its component.
@@ -185,22 +229,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     sets = stored(_set_table(source, wanted, shingle))
 
     star = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = cut(_verified(star, sets, num, den))
-    groups = cut(connected_components(links))
-
-    placed = members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
-    left = cut(_open_members(placed))
-    left = cut(_open_members(left.join(_can_link(left, sets, num, den), "doc_id", "left_semi")))
-    left = cut(_open_members(left.join(_can_link(left, sets, num, den), "doc_id", "left_semi")))
-    keys = left.groupBy("doc_id").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))  # at most bins / rows of them
-    sides = cut(left.join(keys, "doc_id"))
-    x, y = (sides.select("bucket", *(F.col(c).alias(c + s) for c in ("doc_id", "comp", "keys"))) for s in "xy")
-    once = F.element_at(F.array_intersect("keysx", "keysy"), 1) == x["bucket"]
-    rest = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("doc_idx") < F.col("doc_idy")) & (F.col("compx") != F.col("compy")) & once)
-    more = cut(_verified(rest.select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b")), sets, num, den))
-    if not more.isEmpty():
-        edges = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-        groups = cut(connected_components(edges))
+    groups = cut(connected_components(_verified(star, sets, num, den)))
+
+    left = cut(_open_members(_placed(members, groups)))
+    for _ in range(2):
+        left = cut(_open_members(left.join(_can_link(left, sets, num, den), "doc_id", "left_semi")))
+    rest = _across(left, sets, num, den).join(star, ["a", "b"], "left_anti")
+    groups = _joined(groups, cut(_verified(rest, sets, num, den)))
 
     named = (
         classes.select("set_key", "doc_id")
