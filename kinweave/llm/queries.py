@@ -14,6 +14,7 @@ from kinweave.llm.decontaminate import contamination
 from kinweave.llm.language_id import fit_language_id, identify_language
 from kinweave.llm.licenses import license_scan
 from kinweave.llm.near_dedup import near_duplicates
+from kinweave.llm.suffix_dedup import remove_repeats
 from kinweave.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -54,6 +55,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), train=remainder(5) != 0)
@@ -68,7 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_near_dedup, op5_byte_bpe, op7_license_scan, op9_toxicity, op10_decontaminate)
+    for f in (op3_language_id, op4_near_dedup, op5_byte_bpe, op7_license_scan, op8_suffix_dedup, op9_toxicity, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
