@@ -59,7 +59,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tables["up"], tables["down"]
 
 
-def _byte_values() -> np.ndarray:
+def byte_values() -> np.ndarray:
     return mix(_LOWER.astype(U64), 77)
 
 
@@ -96,7 +96,7 @@ class Words:
         after[:-1] = inside[1:]
         self.start = np.flatnonzero(inside & (~before | edge[:-1]))
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        self.hash = span_hash(prefix_sums(_byte_values()[data]), self.start, self.end)
+        self.hash = span_hash(prefix_sums(byte_values()[data]), self.start, self.end)
         self.first = np.searchsorted(self.start, offsets)
 
     def __len__(self) -> int:

@@ -137,14 +137,17 @@ def token_starts(codec_: Codec, ids: np.ndarray, data: np.ndarray) -> np.ndarray
     return (np.cumsum((data & 0xC0) != 0x80) - 1)[at]
 
 
-def bpe_encode(docs: DataFrame, ranks_path: str, digests: bool = False) -> DataFrame:
+COLUMNS = {"ids": "array<int>", "starts": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def bpe_encode(docs: DataFrame, ranks_path: str, columns: tuple[str, ...] = ("ids", "starts")) -> DataFrame:
     """Byte-level BPE ids of whole texts, without special tokens.
 
-    ``docs`` has doc_id and text; other columns are ignored. Returns one row per row: doc_id, n_tokens and either ids
-    (array of int) and starts (array: the character in which each token begins), or, with ``digests``, ids_sha256 (of
-    the ids as little-endian 32-bit numbers) and decoded_sha256 (of the decoded bytes) in their place. Null texts are
-    empty; an empty text has no tokens. The rank file is read on the driver and sent to the executors (about 1 MB).
-    A text that does not decode to itself is an error and stops the job. Scan only: no shuffle.
+    ``docs`` has doc_id and text; other columns are ignored. Returns one row per row: doc_id, n_tokens and ``columns``:
+    ids, starts (the character in which each token begins), ids_sha256 (of the ids as little-endian 32-bit numbers),
+    decoded_sha256 (of the decoded bytes). Null texts are empty; an empty text has no tokens. The rank file is read on
+    the driver and sent to the executors (about 1 MB). A text that does not decode to itself is an error and stops the
+    job. Scan only: no shuffle.
     """
     with open(ranks_path, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -158,19 +161,17 @@ def bpe_encode(docs: DataFrame, ranks_path: str, digests: bool = False) -> DataF
             back = own.decode(ids)
             if len(back) != len(piece) or not (back == piece).all():
                 raise ValueError("a text does not decode to itself")
-            each = [ids[begin[i] : begin[i + 1]] for i in range(hi - lo)]
-            names = batch["doc_id"].slice(lo, hi - lo)
-            counts = pa.array(np.diff(begin), pa.int64())
-            if digests:
-                hexes = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in each]
-                texts = [hashlib.sha256(back[offs[i] : offs[i + 1]].tobytes()).hexdigest() for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([names, counts, pa.array(hexes, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            else:
-                starts = [token_starts(own, x, piece[offs[i] : offs[i + 1]]) for i, x in enumerate(each)]
-                yield pa.RecordBatch.from_arrays([names, counts, pa.array(each, pa.list_(pa.int32())), pa.array(starts, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids", "starts"])
-
-    rest = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, starts array<int>"
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id long, n_tokens long, {rest}")
+            made = {
+                "ids": lambda i, ids=ids, begin=begin: ids[begin[i] : begin[i + 1]].astype(np.int32),
+                "starts": lambda i, ids=ids, begin=begin, piece=piece, offs=offs: token_starts(own, ids[begin[i] : begin[i + 1]], piece[offs[i] : offs[i + 1]]).astype(np.int32),
+                "ids_sha256": lambda i, ids=ids, begin=begin: hashlib.sha256(ids[begin[i] : begin[i + 1]].astype("<u4").tobytes()).hexdigest(),
+                "decoded_sha256": lambda i, back=back, offs=offs: hashlib.sha256(back[offs[i] : offs[i + 1]].tobytes()).hexdigest(),
+            }
+            kinds = {"array<int>": pa.list_(pa.int32()), "string": pa.string()}
+            out = [pa.array([made[c](i) for i in range(hi - lo)], kinds[COLUMNS[c]]) for c in columns]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), pa.array(np.diff(begin), pa.int64()), *out], ["doc_id", "n_tokens", *columns])
+
+    return map_arrow(docs.select("doc_id", "text"), run, ", ".join(["doc_id long", "n_tokens long", *(f"{c} {COLUMNS[c]}" for c in columns)]))
 
 
 def bpe_decode(tokens: DataFrame, ranks_path: str) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm._spark import table
+from kinweave.llm.ann import nearest_neighbours
 from kinweave.llm.bpe import bpe_encode
+from kinweave.llm.chat import rotate_perspectives
 from kinweave.llm.decontaminate import contamination
 from kinweave.llm.language_id import fit_language_id, identify_language
 from kinweave.llm.licenses import license_scan
@@ -27,6 +29,11 @@ def held_out(n: int, which: int) -> Column:
     return F.coalesce(remainder(n) == which, F.lit(False)).alias("held_out")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest_neighbours(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_language_id(docs.where(remainder(4) != 2))
@@ -38,7 +45,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), digests=True)
+    return bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), ("ids_sha256", "decoded_sha256"))
+
+
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +85,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_near_dedup, op5_byte_bpe, op7_license_scan, op8_suffix_dedup, op9_toxicity, op10_decontaminate)
+    for f in (op1_nearest_neighbours, op3_language_id, op4_near_dedup, op5_byte_bpe, op6_chat_perspectives, op7_license_scan, op8_suffix_dedup, op9_toxicity, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}

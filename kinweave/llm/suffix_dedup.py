@@ -86,10 +86,11 @@ def _more_than_once(names: DataFrame) -> DataFrame:
     return names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(k1, k2, doc_id, text): two hashes of id and text name a row."""
+def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(k1, k2, doc_id, text, rest): two hashes of id and text name a row; rest holds the carried columns."""
     doc_id = F.col("doc_id").cast("long")
-    return docs.select(F.xxhash64(doc_id, "text").alias("k1"), F.xxhash64("text", doc_id, F.lit("second")).alias("k2"), doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rest = F.struct(F.lit(0).alias("_"), *carry).alias("rest")
+    return docs.select(rest, F.xxhash64(doc_id, "text").alias("k1"), F.xxhash64("text", doc_id, F.lit("second")).alias("k2"), doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _scan(keyed: DataFrame, length: int, window: int) -> DataFrame:
@@ -155,7 +156,7 @@ def _texts(keyed: DataFrame, bitmap: np.ndarray, inside: bool) -> DataFrame:
         ok = passes(bitmap, batch["k1"].to_numpy() & (FILTER_BITS - 1))
         yield batch.filter(pa.array(ok if inside else ~ok))
 
-    return map_arrow(keyed, run, "k1 long, k2 long, doc_id long, text string")
+    return map_arrow(keyed, run, keyed.schema)
 
 
 def _with_partners(rows: DataFrame, shared: str, name: str, columns: list[str]) -> DataFrame:
@@ -210,21 +211,24 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW,
     return spans.unionByName(single.select("k1", "k2", "lo", (F.col("lo") + length).alias("to")))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES, carry: tuple[str, ...] = ()) -> DataFrame:
     """Texts without the bytes of strings of ``length`` bytes that also start anywhere else.
 
     ``docs`` has doc_id (long) and text; other columns are ignored. All occurrences go, the first too; what repeats is
     judged on the input. Returns one row per row of ``docs``: doc_id, n_bytes, n_removed, spans (array of lo, to:
-    maximal removed runs of bytes, ascending), kept (binary: a cut can split a character).
+    maximal removed runs of bytes, ascending), kept (binary: a cut can split a character), rest (a struct of ``carry``).
 
     Null texts are empty; texts shorter than ``length`` lose nothing. Rows that repeat are copies of each other. Work per
     position is counted, never paired: names are pre-aggregated, so copies and common passages cost their own rows only.
     ``window + GRAM`` may not exceed ``length``.
     """
-    keyed = _keyed(docs)
+    keyed = _keyed(docs, carry)
     spans = stored(repeated_spans(keyed, length, window, batches).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "to")).alias("spans")))
     bitmap = filter_of(spans, F.col("k1").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int"))
-    schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<lo:int,to:int>>, kept binary"
+    columns = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "rest"]
+    empty = F.array().cast("array<struct<lo:int,to:int>>").alias("spans")
+    length_ = F.octet_length("text").cast("long").alias("n_bytes")
+    whole = _texts(keyed, bitmap, False).select("doc_id", length_, F.lit(0).cast("long").alias("n_removed"), empty, F.col("text").cast("binary").alias("kept"), "rest")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = binary_parts(batch["text"])
@@ -245,8 +249,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
             rows.append((len(text), int((~keep).sum()), own, text[keep].tobytes()))
         if rows:
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int32()), ("to", pa.int32())])), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)), batch["rest"]], columns)
 
-    touched = map_arrow(_texts(keyed, bitmap, True).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans"), run, schema)
-    whole = _texts(keyed, bitmap, False).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.array().cast("array<struct<lo:int,to:int>>").alias("spans"), F.col("text").cast("binary").alias("kept"))
+    touched = map_arrow(_texts(keyed, bitmap, True).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans", "rest"), run, whole.schema)
     return touched.unionByName(whole)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm._spark import filter_of, map_arrow, passes, slot
-from kinweave.llm._text import ALNUM, U64, Words, mix, prefix_sums, signed, span_hash, word_chunks, _byte_values
+from kinweave.llm._text import ALNUM, U64, Words, byte_values, mix, prefix_sums, signed, span_hash, word_chunks
 
 #: Labelled rows of either class that the model is fitted on, about (a hash picks them); half give the lexicon, half the weights.
 SAMPLE = 6000
@@ -95,7 +95,7 @@ class Lexical:
 
 def word_forms(words: Words) -> list[np.ndarray]:
     """Hashes of each word and of its stems; a word without a stem of some length has its own hash for it, salted."""
-    sums = prefix_sums(_byte_values()[words.data])
+    sums = prefix_sums(byte_values()[words.data])
     size = words.end - words.start
     out = [mix(words.hash, 20)]
     for n in STEMS:
@@ -248,3 +248,15 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, score double, predicted int")
+
+
+def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` (text and any other columns, all returned) whose score is below 0.5. Scan only."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        score = Model(**shared.value).scorer()
+        for lo, hi, words in word_chunks(batch["text"], ALNUM):
+            yield batch.slice(lo, hi - lo).filter(pa.array(score(words) < 0.5))
+
+    return docs.mapInArrow(lambda batches: (out for batch in batches for out in run(batch)), docs.schema)
