@@ -15,6 +15,7 @@ from kinweave.llm.chat import rotate_perspectives
 from kinweave.llm.decontaminate import contamination
 from kinweave.llm.language_id import fit_language_id, identify_language
 from kinweave.llm.licenses import license_scan
+from kinweave.llm.lm import katz_scores
 from kinweave.llm.near_dedup import near_duplicates
 from kinweave.llm.suffix_dedup import remove_repeats
 from kinweave.llm.toxicity import fit_toxicity, score_toxicity
@@ -34,6 +35,11 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op2_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = katz_scores(table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return found.select("doc_id", (~F.col("train") & F.col("doc_id").isNotNull()).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_language_id(docs.where(remainder(4) != 2))
@@ -85,7 +91,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_nearest_neighbours, op3_language_id, op4_near_dedup, op5_byte_bpe, op6_chat_perspectives, op7_license_scan, op8_suffix_dedup, op9_toxicity, op10_decontaminate)
+    for f in (op1_nearest_neighbours, op2_katz_lm, op3_language_id, op4_near_dedup, op5_byte_bpe, op6_chat_perspectives, op7_license_scan, op8_suffix_dedup, op9_toxicity, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
