@@ -22,7 +22,7 @@ U64 = np.uint64
 _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 1 << 64)
 #: Bytes of text worked on at once (a longer document is worked on alone): bounds a worker's memory.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

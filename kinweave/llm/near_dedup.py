@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import cut, filter_of, map_arrow, passes, slot, stored
+from kinweave.llm._spark import cut, filter_of, map_arrow, passes, release, slot, stored
 from kinweave.llm._text import SPACED, U64, grams, mix, signed, word_chunks
 from kinweave.llm.components import connected_components
 
@@ -178,7 +178,7 @@ def _across(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     sizes = docs.groupBy("area").agg(F.count("*").alias("docs"))
     uses = shingles.groupBy("area", "h").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     uses = cut(uses.where("lo <> hi").join(sizes, "area").select("area", "h", (F.col("df") * 2 >= F.col("docs")).alias("common")))
-    known = cut(shingles.join(uses, ["area", "h"]))
+    known = stored(shingles.join(uses, ["area", "h"]))
     common = known.where("common").groupBy("doc_id", "comp", "area", "n").agg(F.count("*").alias("c")).where(F.col("c") * den >= F.col("n") * num)
     x, y = (known.where("not common").select(*(F.col(c).alias(c + s) for c in ("area", "h", "doc_id", "comp", "n"))) for s in "xy")
     fits = (F.col("doc_idx") < F.col("doc_idy")) & (F.col("compx") != F.col("compy")) & (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num)
@@ -229,13 +229,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     sets = stored(_set_table(source, wanted, shingle))
 
     star = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    release(docs.sparkSession)
     groups = cut(connected_components(_verified(star, sets, num, den)))
 
     left = cut(_open_members(_placed(members, groups)))
-    for _ in range(2):
-        left = cut(_open_members(left.join(_can_link(left, sets, num, den), "doc_id", "left_semi")))
+    release(docs.sparkSession)
+    left = cut(_open_members(left.join(_can_link(left, sets, num, den), "doc_id", "left_semi")))
+    release(docs.sparkSession)
     rest = _across(left, sets, num, den).join(star, ["a", "b"], "left_anti")
-    groups = _joined(groups, cut(_verified(rest, sets, num, den)))
+    more = cut(_verified(rest, sets, num, den))
+    release(docs.sparkSession)
+    groups = _joined(groups, more)
 
     named = (
         classes.select("set_key", "doc_id")

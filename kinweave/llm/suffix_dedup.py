@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import FILTER_BITS, filter_of, map_arrow, passes, stored
+from kinweave.llm._spark import FILTER_BITS, filter_of, map_arrow, passes, release, stored
 from kinweave.llm._text import U64, binary_parts, chunks, mix, prefix_sums, signed, span_hash
 
 #: Bytes of a string that counts as repeated.
@@ -179,6 +179,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW,
     # 1. Suffixes whose whole context, all their starts, repeats.
     whole = _more_than_once(suffixes.select(F.col("whole").alias("name"))).select(F.col("name").alias("whole"), F.lit(True).alias("full"))
     known = stored(suffixes.join(repeated.distinct().withColumnRenamed("name", "core"), "core", "left_semi").join(whole, "whole", "left"))
+    release(keyed.sparkSession)
     spans = known.where("full").select("k1", "k2", "lo", (F.col("hi") + length).alias("to"))
 
     # 2. Blocks of the others' starts: what a block's strings share must repeat; if all its bytes do, so do all its strings.
@@ -197,6 +198,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW,
     again = stored(_more_than_once(parts.select(F.explode(F.array("inner", "outer")).alias("name"))))
     parts = parts.join(again.withColumnRenamed("name", "inner"), "inner", "left_semi")
     parts = stored(parts.join(again.select(F.col("name").alias("outer"), F.lit(True).alias("full")), "outer", "left"))
+    release(keyed.sparkSession)
     spans = spans.unionByName(parts.where("full").select("k1", "k2", "lo", (F.col("hi") + length).alias("to")))
 
     # 3. Single starts of the blocks that repeat in part.
