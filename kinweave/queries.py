@@ -433,8 +433,8 @@ ORACLE_SQL["c17_commonness"] = _pre(f"""{_SIDES} SELECT s1_id, x_id, round(ln(1
 round(ln(1 + (SELECT count(*) FROM er_nx r WHERE r.house_num <> '' AND r.house_num = bh AND r.street = bst)), 6) AS hs_cnt_x FROM sides""")
 
 
-@query("""SELECT entity_id, coalesce(CAST(sum(CASE WHEN token IS NOT NULL AND token NOT IN (SELECT w FROM v) THEN 1 ELSE 0 END) AS DOUBLE) / nullif(count(token), 0), -1.0) AS oov
-FROM (SELECT entity_id, unnest(string_split(name_core, ' ')) AS token FROM er_nx) WHERE length(token) >= 4 GROUP BY 1""".replace("(SELECT w FROM v)", "(SELECT unnest(string_split(name_core, ' ')) FROM er_n1)"))
+@query("""SELECT e.entity_id, coalesce(CAST(sum(CASE WHEN token NOT IN (SELECT unnest(string_split(name_core, ' ')) FROM er_n1) THEN 1 ELSE 0 END) AS DOUBLE) / nullif(count(token), 0), -1.0) AS oov
+FROM er_nx e LEFT JOIN (SELECT * FROM (SELECT entity_id, unnest(string_split(name_core, ' ')) AS token FROM er_nx) WHERE length(token) >= 4) t ON t.entity_id = e.entity_id GROUP BY 1""")
 def c18_out_of_vocabulary(spark, d):
     v = frame(spark, d, "er_n1").select(F.explode(X.words(F.col("name_core"))).alias("token"))
     return P.out_of_vocabulary(frame(spark, d, "er_nx"), v)
