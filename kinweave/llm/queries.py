@@ -94,4 +94,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_nearest_neighbours, op2_katz_lm, op3_language_id, op4_near_dedup, op5_byte_bpe, op6_chat_perspectives, op7_license_scan, op8_suffix_dedup, op9_toxicity, op10_decontaminate)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP4 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, p.b FROM r JOIN p ON p.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT s.doc_id, len(s) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+_OP10 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOW}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+k AS (SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS g FROM (SELECT item_id, w, least(13, len(w)) AS l, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+n AS (SELECT DISTINCT l FROM k),
+g AS (SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS g FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, n WHERE len(w) >= l)),
+h AS (SELECT DISTINCT doc_id, i, k.l AS l, item_id FROM g JOIN k ON k.l = g.l AND k.g = g.g),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM h) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+#: SQL equivalents; the learned, approximate and byte-wise operators have none.
+ORACLE_SQL: dict[str, str] = {"op4_near_dedup": _OP4, "op10_decontaminate": _OP10}
