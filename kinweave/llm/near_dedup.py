@@ -224,6 +224,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     classes = stored(scan.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min("bands").alias("bands")))
     banded = classes.select("doc_id", F.explode("bands").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1").select("bucket", "hub")
+    hubs = stored(hubs)  # a table of its own, so that a hot bucket's side of the join can be split
     members = stored(banded.join(hubs, "bucket"))
     wanted = classes.select("doc_id", "set_key").join(members.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(_set_table(source, wanted, shingle))

@@ -176,9 +176,10 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW,
     repeated = found[0]
     for x in found[1:]:
         repeated = repeated.unionByName(x)
+    repeated = stored(repeated.distinct())  # a table of its own, so that a hot name's side of the join can be split
     # 1. Suffixes whose whole context, all their starts, repeats.
     whole = _more_than_once(suffixes.select(F.col("whole").alias("name"))).select(F.col("name").alias("whole"), F.lit(True).alias("full"))
-    known = stored(suffixes.join(repeated.distinct().withColumnRenamed("name", "core"), "core", "left_semi").join(whole, "whole", "left"))
+    known = stored(suffixes.join(repeated.withColumnRenamed("name", "core"), "core", "left_semi").join(whole, "whole", "left"))
     release(keyed.sparkSession)
     spans = known.where("full").select("k1", "k2", "lo", (F.col("hi") + length).alias("to"))
 
