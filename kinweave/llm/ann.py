@@ -9,14 +9,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import map_arrow, stored
+from kinweave.llm._spark import map_arrow, release, stored
 
-#: Neighbours kept for a node, reverse neighbours joined with them, rounds, and candidates a list proposes for each member.
-K, REVERSE, ROUNDS, PROPOSED = 20, 14, 6, 6
+#: Neighbours kept for a node, reverse neighbours joined with them, and candidates a list proposes for each member.
+K, REVERSE, PROPOSED = 20, 14, 6
+#: Rounds go on until fewer than this share of the edges is new.
+SETTLED = 0.02
 #: Rows compared with each other in the random first graph, and how many such dealings.
 BLOCK, DEALINGS = 64, 2
-#: Search: best candidates kept and looked through for a query, nodes expanded in a step, most steps.
-BEAM, EXPANDED, STEPS = 64, 6, 10
+#: Search: best candidates kept and looked through for a query at first, and the share of them expanded in a step.
+BEAM, STEP = 64, 1 / 6
+#: Queries that the beam is measured on by an exact scan, and their recall below which it is doubled.
+SAMPLE, RECALL = 256, 0.95
+
+
+def _drop(df: DataFrame) -> None:
+    """Deletes a stored table that nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +135,7 @@ def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
         if vs:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(vs)), pa.array(np.concatenate(us)), pa.array(np.concatenate(ss), pa.float32())], ["v", "u", "s"])
 
-    worst = graph.groupBy("v").agg(F.min("s").alias("least")).select(F.col("v").alias("id"), "least")
+    worst = graph.groupBy("v").agg(F.when(F.count("*") >= K, F.min("s")).alias("least")).select(F.col("v").alias("id"), "least")
     described = nodes.select("id", "q").join(worst, "id", "left").select(F.col("id").alias("u"), "q", F.coalesce("least", F.lit(-2.0).cast("float")).alias("least"))
     lists = _both_ways(graph, number).join(described, "u").groupBy("v").agg(F.collect_list(F.struct("u", "q", "new", "least")).alias("near"))
     found = map_arrow(lists.select("near"), run, "v long, u long, s float")
@@ -131,19 +143,63 @@ def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
     return stored(_top(old.unionByName(found.select("v", "u", "s", F.lit(True).alias("new"))), K))
 
 
-def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(v, u, s, new): about the K nearest of each node. A list holds at most K + REVERSE nodes, however popular they are."""
+def neighbour_graph(nodes: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(v, u, s, new): about the K nearest of each node. A list holds at most K + REVERSE nodes, however popular they are.
+
+    Rounds go on until the graph has settled (see SETTLED), at most ``rounds`` if given.
+    """
     first = _first_graph(nodes, 0)
     for d in range(1, DEALINGS):
         first = first.unionByName(_first_graph(nodes, d))
     graph = stored(_top(first.select("v", "u", "s", F.lit(True).alias("new")), K))
-    for r in range(rounds):
-        graph = _round(graph, nodes, r)
+    r = 0
+    while rounds is None or r < rounds:
+        before, graph = graph, _round(graph, nodes, r)
+        _drop(before)
+        release(nodes.sparkSession)
+        r += 1
+        if graph.where("new").count() <= SETTLED * graph.count():
+            break
     return graph
 
 
-def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, id, score): the k nearest found of each query (query_id, vector, start), start a node to begin at."""
+def exact_neighbours(nodes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score): the k nearest of a few queries (query_id, vector), by one scan of all nodes."""
+    asked = queries.select("query_id", "vector").toArrow()
+    names = asked["query_id"].to_numpy()
+    y = np.array(asked["vector"].to_pylist(), dtype=np.float64).reshape(len(names), -1 if len(names) else 0)
+    y /= np.sqrt((y * y).sum(axis=1, keepdims=True))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if not (batch.num_rows and len(names)):
+            return
+        ids = batch["id"].to_numpy()
+        x = batch["vector"].flatten().to_numpy().reshape(len(ids), -1)
+        s = y @ (x / np.sqrt((x * x).sum(axis=1, keepdims=True))).T
+        s[names[:, None] == ids[None, :]] = -2
+        n = min(k, len(ids))
+        to = np.argpartition(-s, n - 1, axis=1)[:, :n].reshape(-1)
+        row = np.repeat(np.arange(len(names)), n)
+        ok = s[row, to] > -2
+        yield pa.RecordBatch.from_arrays([pa.array(names[row[ok]]), pa.array(ids[to[ok]]), pa.array(s[row, to][ok])], ["query_id", "id", "score"])
+
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return map_arrow(nodes.select("id", "vector"), run, "query_id long, id long, score double").withColumn("r", rank).where(F.col("r") <= k).drop("r")
+
+
+def recall_of(found: DataFrame, truth: DataFrame) -> float:
+    """Share of the exact neighbours that ``found`` has; one as near as the last exact one counts as well."""
+    worst = truth.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    hits = found.join(worst, "query_id").where("score >= least - 1e-9").groupBy("query_id").agg(F.count("*").alias("hit"))
+    row = worst.join(hits, "query_id", "left").agg(F.sum(F.least("n", F.coalesce("hit", F.lit(0)))).alias("hit"), F.sum("n").alias("n")).first()
+    return row["hit"] / row["n"] if row["n"] else 1.0
+
+
+def search(nodes: DataFrame, ways: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
+    """(query_id, rank, id, score): the k nearest found of each query (query_id, q, vector, start), start a node to begin at.
+
+    ``ways`` (v, u) are the edges to go by. The search ends when all of a query's ``beam`` best nodes have been expanded.
+    """
 
     def seen(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         a, b = _unit(batch["qq"]), _unit(batch["q"])
@@ -154,20 +210,25 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, k: int) -> Da
         cos = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
         yield pa.RecordBatch.from_arrays([batch["query_id"], batch["u"], pa.array(cos)], ["query_id", "u", "score"])
 
-    ways = stored(_both_ways(graph, 99).select("v", "u"))
     shorts = stored(queries.select("query_id", F.col("q").alias("qq")))
     node = nodes.select(F.col("id").alias("u"), "q")
     state = queries.select("query_id", F.col("start").alias("u"), F.lit(2.0).cast("float").alias("s"), F.lit(False).alias("done"))
     place = Window.partitionBy("query_id").orderBy(F.desc("s"), "u")
-    for _ in range(STEPS):
-        turn = Window.partitionBy("query_id", "done").orderBy(F.desc("s"), "u")
-        marked = stored(state.withColumn("now", (~F.col("done")) & (F.row_number().over(turn) <= EXPANDED)))
+    turn = Window.partitionBy("query_id", "done").orderBy(F.desc("s"), "u")
+    last = None
+    while True:
+        marked = stored(state.withColumn("now", (~F.col("done")) & (F.row_number().over(turn) <= max(1, round(beam * STEP)))))
+        if last is not None:
+            _drop(last)
+            release(nodes.sparkSession)
+        last = marked
         if marked.where("now").isEmpty():
             break
         fresh = marked.where("now").select("query_id", F.col("u").alias("v")).join(ways, "v").select("query_id", "u").distinct().join(marked.select("query_id", "u"), ["query_id", "u"], "left_anti").where("u <> query_id")
         scored = map_arrow(fresh.join(node, "u").join(shorts, "query_id").select("query_id", "u", "q", "qq"), seen, "query_id long, u long, s float")
         both = marked.select("query_id", "u", "s", (F.col("done") | F.col("now")).alias("done")).unionByName(scored.withColumn("done", F.lit(False)))
-        state = both.withColumn("r", F.row_number().over(place)).where(F.col("r") <= BEAM).drop("r")
+        state = both.withColumn("r", F.row_number().over(place)).where(F.col("r") <= beam).drop("r")
+    state = marked
     best = state.where("u <> query_id").withColumn("r", F.row_number().over(place)).where(F.col("r") <= 4 * k).select("query_id", "u")
     pairs = best.join(nodes.select(F.col("id").alias("u"), "vector"), "u").join(queries.select("query_id", F.col("vector").alias("qv")), "query_id")
     scores = map_arrow(pairs.select("query_id", "u", "qv", "vector"), exact, "query_id long, u long, score double")
@@ -175,15 +236,25 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, k: int) -> Da
     return scores.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("u").alias("id"), "score")
 
 
-def nearest_neighbours(vectors: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5, rounds: int = ROUNDS) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5, rounds: int | None = None, recall: float = RECALL) -> DataFrame:
     """The k nearest other rows, by cosine, of the rows that the condition ``is_query`` (on a column ``id``) names.
 
     Returns query_id, rank (from 1), id, score (cosine of the original vectors in double precision), ties to the smaller
     id. Vectors that are null, zero, or hold nulls or non-finite numbers take no part, nor do rows without an id; if an
     id repeats, its least vector counts. Fewer than k others give fewer rows; an empty table gives none. All vectors are
     of one length. Queries are rows of the index and begin at their own node.
+
+    The beam grows with what the table needs: about SAMPLE of the queries are compared with an exact scan, and the beam is
+    doubled until their recall is at least ``recall`` or it holds the whole table. All queries are then searched with it.
     """
     nodes = node_table(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")))
     graph = neighbour_graph(nodes, rounds)
-    queries = nodes.where(is_query).select(F.col("id").alias("query_id"), "q", "vector", F.col("id").alias("start"))
-    return search(nodes, graph, queries, k)
+    ways = stored(_both_ways(graph, 99).select("v", "u"))
+    queries = stored(nodes.where(is_query).select(F.col("id").alias("query_id"), "q", "vector", F.col("id").alias("start")))
+    n, asked = nodes.count(), queries.count()
+    pilot = stored(queries.orderBy(F.xxhash64("query_id"), "query_id").limit(SAMPLE))
+    truth = stored(exact_neighbours(nodes, pilot, k))
+    beam = BEAM
+    while recall_of(found := stored(search(nodes, ways, pilot, k, beam)), truth) < recall and beam < n:
+        beam *= 2
+    return found if asked <= SAMPLE else search(nodes, ways, queries, k, beam)
