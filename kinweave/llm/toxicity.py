@@ -135,15 +135,15 @@ def features(words: Words, lexical: Lexical) -> np.ndarray:
     return np.log1p(np.hstack([kinds, total, 100 * total / count]))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 60) -> np.ndarray:
-    """Weights and, last, intercept of a ridge logistic regression with classes weighted to their shares, by Newton steps."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 0.05, steps: int = 60) -> np.ndarray:
+    """Weights and, last, intercept of a ridge logistic regression in which a row counts ``times``, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     beta = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        grad = x.T @ (p - y) + penalty * beta
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), grad)
+        grad = x.T @ (times * (p - y)) + penalty * beta
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + np.diag(penalty), grad)
         beta -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -191,8 +191,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
     """A model of ``labels`` (doc_id, toxic) and the texts of ``docs`` (doc_id, text).
 
     ``train`` is a condition on doc_id. About ``sample`` rows of either class are taken, by a hash of doc_id; that bounds
-    what is joined and what reaches the driver (``entries`` lexicon entries and a few numbers a row). Rows with a null
-    label, id or text are left out. Without rows of both classes nothing is toxic.
+    what is joined and what reaches the driver (``entries`` lexicon entries and a few numbers a row). For the weights a row
+    counts as many times as its class is larger than what was taken of it, so the cut is that of all rows. Rows with a
+    null label, id or text are left out. Without rows of both classes nothing is toxic.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     rows = rows.where(train) if train is not None else rows
@@ -230,7 +231,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
     y = rows_["toxic"].to_numpy().astype(float)
     if not 0 < y.sum() < len(y):
         return Model({}, np.array([0.0] * (KINDS + 2) + [-5.0]))
-    return Model(found, _logistic(x, y))
+    times = np.where(y == 1, max(1.0, sizes[1] / sample), max(1.0, sizes[0] / sample))
+    return Model(found, _logistic(x, y, times))
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:

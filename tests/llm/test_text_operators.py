@@ -250,3 +250,21 @@ def test_katz(spark):
         assert total == pytest.approx(1)
     assert all(0 < d < 1 for d in discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 5})) and all(0 < d < 1 for d in discounts({}))
     assert katz_scores(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_toxicity_cut_is_that_of_all_rows(spark):
+    """A word in all of 200 toxic and a thirteenth of 4800 clean texts: a text with it is more likely clean, sampled or not."""
+    rng = random.Random(4)
+    plain = "the river runs over old stones and people walk along it in spring".split()
+    rows = []
+    for i in range(5000):
+        w = [rng.choice(plain) for _ in range(30)]
+        if i % 25 == 0 or rng.random() < 1 / 13:
+            w[15] = "grobling"
+        rows.append((i, " ".join(w), int(i % 25 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    text = [(1, " ".join([*(plain * 3)[:15], "grobling", *(plain * 3)[15:29]]), "z")]
+    odd = spark.createDataFrame(text, "doc_id long, text string, lang string")
+    whole, sampled = (score_toxicity(odd, fit_toxicity(df, df, sample=n)).first() for n in (6000, 400))
+    assert whole["predicted"] == sampled["predicted"] == 0
+    assert abs(whole["score"] - sampled["score"]) < 0.15 and whole["score"] > 0.2
