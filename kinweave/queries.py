@@ -238,6 +238,46 @@ round(sum(CASE WHEN substr(t.x_id, 2, 1) = '3' AND c.x_id IS NOT NULL THEN 1 ELS
 FROM er_truth t JOIN er_s1 s ON s.entity_id = t.s1_id LEFT JOIN cands c ON c.s1_id = t.s1_id AND c.x_id = t.x_id GROUP BY 1""")
 
 
+# The whole job: all families, other names, and the plan's cap and ranks. The queries above are the part that SQL follows.
+def _whole(spark, d) -> DataFrame:
+    return linkage.candidates(frame(spark, d, "er_n1"), frame(spark, d, "er_nx"))
+
+
+@query()
+def w02_whole_candidates(spark, d):
+    return _whole(spark, d)
+
+
+@query()
+def a23_whole_candidate_lists(spark, d):
+    return ranked_lists(_universe(spark, d), _whole(spark, d), "score", "candidate_entity_ids")
+
+
+@query()
+def a24_whole_blocking_report(spark, d):
+    return T.blocking_report(_universe(spark, d), frame(spark, d, "er_truth"), _whole(spark, d))
+
+
+@query()
+def f09_whole_capped_recall(spark, d):
+    return T.capped_recall(frame(spark, d, "er_truth"), _whole(spark, d), [1, 3, 10, 30], [0, 1, 3])
+
+
+@query()
+def a26_whole_recall_by_group(spark, d):
+    return T.recall_by_group(frame(spark, d, "er_truth"), _whole(spark, d), frame(spark, d, "er_s1"))
+
+
+@query()
+def t06_whole_misses(spark, d):
+    return T.misses(frame(spark, d, "er_truth"), _whole(spark, d), 15)
+
+
+@query()
+def p02_whole_cheap_features(spark, d):
+    return P.cheap_features(P.attach_sides(_whole(spark, d), frame(spark, d, "er_n1"), frame(spark, d, "er_nx")))
+
+
 # Decisions on a probability by formula.
 _WINDOWS = "SELECT *, rank() OVER (PARTITION BY s1_id ORDER BY p DESC) AS c_rank_s1, round(max(p) OVER (PARTITION BY s1_id) - p, 9) AS c_gap_s1, sum(CASE WHEN p > 0.5 THEN 1 ELSE 0 END) OVER (PARTITION BY s1_id) AS c_n_hi_s1, round(sum(p) OVER (PARTITION BY s1_id), 9) AS c_sum_s1, rank() OVER (PARTITION BY x_id ORDER BY p DESC) AS c_rank_x, round(max(p) OVER (PARTITION BY x_id) - p, 9) AS c_gap_x, count(*) OVER (PARTITION BY x_id) AS c_n_x, coalesce(nth_value(p, 2) OVER (PARTITION BY x_id ORDER BY p DESC, s1_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0.0) AS second, max(p) OVER (PARTITION BY x_id) AS top FROM er_scored"
 
@@ -494,4 +534,4 @@ def link_records(spark, d):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return a22_candidate_lists(spark, sf_dir)
+    return a23_whole_candidate_lists(spark, sf_dir)

@@ -1,13 +1,17 @@
 """Queries against DuckDB on the smallest tables, equivalences between operators, sources and streams."""
 
+import math
 import os
+from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from kinweave import queries as Q
+from kinweave.functions.lexicon import FAMILY_WEIGHTS
 from kinweave.operators import decide as R
+from kinweave.operators.blocking import record_features
 from kinweave.operators.learn import learn_parts, learn_tokens, transliterate
 from kinweave.plans.fixtures import frame
 from kinweave.plans.linkage import normalize
@@ -83,3 +87,37 @@ def test_stream(spark, tmp_path):
     arriving = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
     link_stream(arriving, s1, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert set(spark.read.parquet(str(tmp_path / "out")).columns) >= {"s1_id", "x_id", "p"}
+
+
+def test_whole_candidates(spark):
+    """All sixteen families and other names, cap 2000, ranks 30 and 3, by brute force over the records' features."""
+    s1, x = frame(spark, DATA, "er_n1"), frame(spark, DATA, "er_nx")
+    left, right = {}, {}
+    for r in record_features(s1).collect():
+        left.setdefault((r["entity_id"], r["country"]), {})[r["feature"]] = r["times"]
+    known = {c for _, c in left}
+    for r in record_features(x).collect():
+        grp = r["country"] if r["country"] in known else "__other__"
+        right.setdefault((r["entity_id"], r["src"], grp), {})[r["feature"]] = FAMILY_WEIGHTS[r["family"]]
+    n = Counter((src, grp) for _, src, grp in right)
+    df = Counter((src, grp, f) for (_, src, grp), fs in right.items() for f in fs)
+    scores = {}
+    for (a, country), fa in left.items():
+        for (b, src, grp), fb in right.items():
+            both = [f for f in fa if f in fb and df[src, grp, f] <= 2000] if grp in (country, "__other__") else []
+            if both:
+                scores[a, b, src] = round(sum(fa[f] * fb[f] * math.log1p(n[src, grp] / df[src, grp, f]) for f in both), 6)
+    lists: dict = {}
+    for (a, b, src), s in scores.items():
+        lists.setdefault(("f", a, src), []).append((-s, b))
+        lists.setdefault(("r", b), []).append((-s, a))
+    places = {(k, name): i for k, v in lists.items() for i, (_, name) in enumerate(sorted(v), 1)}
+    want = {}
+    for (a, b, src), s in scores.items():
+        f, r = places[("f", a, src), b], places[("r", b), a]
+        if f <= 30 or r <= 3:
+            want[a, b] = (s, f if f <= 30 else 999, r if r <= 3 else 999)
+    got = {(r["s1_id"], r["x_id"]): (r["score"], r["fwd_rank"], r["rev_rank"]) for r in Q.QUERIES["w02_whole_candidates"](spark, DATA).collect()}
+    assert set(got) == set(want) and all(abs(got[k][0] - want[k][0]) < 1e-5 and got[k][1:] == want[k][1:] for k in want)
+    flagship = {r["source1_entity_id"]: set(filter(None, r["candidate_entity_ids"].split(","))) for r in Q.flagship(spark, DATA).collect()}
+    assert {(a, b) for a, v in flagship.items() for b in v} == set(want)
