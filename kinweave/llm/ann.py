@@ -31,11 +31,10 @@ def _drop(df: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Rows with a usable vector (no null, finite, not zero, of the commonest length here) and their vectors."""
+def _vectors(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with a usable vector (no null, finite, not zero, of length ``size``) and their vectors."""
     rows = column.to_pylist()
-    size = max((len(r) for r in rows if r), default=0)
-    at = [i for i, r in enumerate(rows) if r is not None and len(r) == size and size and None not in r]
+    at = [i for i, r in enumerate(rows) if r is not None and len(r) == size and None not in r]
     x = np.array([rows[i] for i in at], dtype=np.float64).reshape(len(at), size)
     ok = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
     return np.array(at, dtype=np.int64)[ok], x[ok]
@@ -53,13 +52,16 @@ def _unit(column: pa.Array) -> np.ndarray:
 
 
 def node_table(vectors: DataFrame) -> DataFrame:
-    """(id, q, vector): usable vectors, one an id (the least, if an id repeats), and their short form."""
+    """(id, q, vector): usable vectors of the table's commonest length, one an id (the least, if an id repeats), and their short form."""
+    given = vectors.where("id is not null and size(vector) > 0")
+    common = given.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    size = common["size"] if common else 1
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at, x = _vectors(batch["vector"])
+        at, x = _vectors(batch["vector"], size)
         yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at)), pa.array(_short(x), pa.binary()), pa.array(list(x), pa.list_(pa.float64()))], ["id", "q", "vector"])
 
-    one = vectors.where("id is not null and vector is not null").groupBy("id").agg(F.min("vector").alias("vector"))
+    one = given.where(F.size("vector") == size).groupBy("id").agg(F.min("vector").alias("vector"))
     return stored(map_arrow(one, run, "id long, q binary, vector array<double>"))
 
 
@@ -241,8 +243,8 @@ def nearest_neighbours(vectors: DataFrame, id_col: str, vector_col: str, is_quer
 
     Returns query_id, rank (from 1), id, score (cosine of the original vectors in double precision), ties to the smaller
     id. Vectors that are null, zero, or hold nulls or non-finite numbers take no part, nor do rows without an id; if an
-    id repeats, its least vector counts. Fewer than k others give fewer rows; an empty table gives none. All vectors are
-    of one length. Queries are rows of the index and begin at their own node.
+    id repeats, its least vector counts. Fewer than k others give fewer rows; an empty table gives none. Vectors
+    of another length than the table's commonest (the longer, if two are as common) take no part. Queries are rows of the index and begin at their own node.
 
     The beam grows with what the table needs: about SAMPLE of the queries are compared with an exact scan, and the beam is
     doubled until their recall is at least ``recall`` or it holds the whole table. All queries are then searched with it.

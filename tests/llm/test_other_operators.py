@@ -53,6 +53,15 @@ def test_nearest_neighbours_beam_grows(spark):
     assert len(got) == 60 and hit >= 0.95 * 300
 
 
+def test_nearest_neighbours_of_ragged_vectors(spark):
+    """The table's commonest length counts, wherever longer and shorter rows stand and if an id has both."""
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(np.random.default_rng(2).normal(size=(40, 8)))]
+    ragged = [(100, [1.0] * 12), (110, [1.0] * 3), (0, [-9.0] * 3), (120, [])]
+    df = spark.createDataFrame(rows + ragged, "vec_id long, embedding array<double>").coalesce(1)
+    got, want = (sorted(map(tuple, nearest_neighbours(x, "vec_id", "embedding", F.col("id") % 10 == 0, rounds=1).collect())) for x in (df, df.where("size(embedding) = 8")))
+    assert got == want and {r[0] for r in got} == {0, 10, 20, 30} and len(got) == 20
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2, "ann", "x<|im_end|>"), (2, 0, None, "z"), (None, 0, "ann", "no")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
