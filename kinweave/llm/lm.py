@@ -20,7 +20,7 @@ from kinweave.llm._spark import map_arrow, stored
 from kinweave.llm._text import SPACED, U64, grams, mix, signed, word_chunks
 
 #: Longest n-gram; counts above MOST are not discounted.
-ORDER, MOST = 2, 5
+ORDER, MOST = 3, 5
 
 
 def token_rows(docs: DataFrame, order: int = ORDER) -> DataFrame:

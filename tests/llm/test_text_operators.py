@@ -268,3 +268,24 @@ def test_toxicity_cut_is_that_of_all_rows(spark):
     whole, sampled = (score_toxicity(odd, fit_toxicity(df, df, sample=n)).first() for n in (6000, 400))
     assert whole["predicted"] == sampled["predicted"] == 0
     assert abs(whole["score"] - sampled["score"]) < 0.15 and whole["score"] > 0.2
+
+
+def test_katz_of_order_three(spark):
+    """The registered order backs off twice, and after every two words the probabilities of all words sum to one."""
+    assert ORDER == 3
+    rows = [(i, t) for i, t in enumerate(["a b a b c", "a b b", "c c a", "a b", "d e f g", "b a", "a c a b"])]
+    df = spark.createDataFrame(rows, "k1 long, text string").selectExpr("k1", "k1 as k2", "k1 as doc_id", "true as train", "text")
+    tokens = token_rows(df, 3).persist()
+    model = fit_katz(tokens, 3)
+    p1, p2, p3 = ({r["name"]: r["p"] for r in model.grams[m].collect()} for m in (1, 2, 3))
+    a2, a3 = ({r["history"]: r["alpha"] for r in model.weights[m].collect()} for m in (2, 3))
+    two, three, lower = {}, {}, {}
+    for r in tokens.collect():
+        two.setdefault(r["h2"], {})[r["g1"]] = p2[r["g2"]]
+        three.setdefault(r["h3"], {})[r["g1"]] = p3[r["g3"]]
+        lower[r["h3"]] = r["h2"]
+    assert len(three) > len(two)
+    for h, words in three.items():
+        g = lower[h]
+        rest = sum(two[g].get(w, a2[g] * p) for w, p in p1.items() if w not in words) + a2[g] * model.unknown
+        assert sum(words.values()) + a3[h] * rest == pytest.approx(1)
