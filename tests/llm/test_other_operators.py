@@ -89,6 +89,17 @@ def test_pipeline(spark):
     assert {r[0] for r in last.select("doc_id").collect()} == ids
 
 
+def test_suffix_dedup_cuts_whole_characters(spark):
+    """U+FFFD of the text itself stays, and halves of split characters go even where two would make a character."""
+    import corpus_pipeline as C
+
+    same = "\u00a9" + "xyz" * 150 + "\u00c3"  # shares the last byte of U+00E9 before it and the first of U+00E9 after it
+    rows = [(1, "a\ufffdb\u00e9" + same[1:-1] + "\u00e9c\ufffd"), (2, "q\u00a9" + same[1:-1] + "\u00ebr"), (3, "\ufffdalone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in C.suffix_dedup(spark, df, "").collect()}
+    assert got == {1: "a\ufffdbc\ufffd", 2: "qr", 3: "\ufffdalone"}
+
+
 def test_registry():
     import __spark_entry__ as E
 
