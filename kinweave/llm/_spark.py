@@ -93,15 +93,51 @@ def passes(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bitmap[places >> 6] >> (places & 63).astype(np.int64)) & 1 == 1
 
 
+def quoted(column: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``dropped`` (doc_id). A fixed-size filter keeps most texts out of the shuffle."""
+    """The rows of ``docs``, whatever their columns, whose doc_id is not in ``dropped`` (doc_id).
+
+    A fixed-size filter keeps most texts out of the shuffle. Rows travel as one struct, so no column's name can clash.
+    """
     bitmap, columns = filter_of(dropped, slot("doc_id")), docs.columns
+    packed = docs.select(F.struct(*map(quoted, columns)).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    packed = packed.withColumn("place", slot("id"))
 
     def part(inside: bool) -> DataFrame:
         def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            ok = passes(bitmap, batch["place_"].to_numpy())
-            yield batch.filter(pa.array(ok if inside else ~ok)).select(columns)
+            ok = passes(bitmap, batch["place"].to_numpy())
+            yield batch.filter(pa.array(ok if inside else ~ok))
 
-        return map_arrow(docs.withColumn("place_", slot(F.col("doc_id").cast("long"))), run, docs.schema)
+        return map_arrow(packed, run, packed.schema)
 
-    return part(False).unionByName(part(True).join(dropped.distinct(), "doc_id", "left_anti").select(columns))
+    gone = dropped.select(F.col("doc_id").cast("long").alias("id")).distinct()
+    rows = part(False).unionByName(part(True).join(gone, "id", "left_anti"))
+    return rows.select(*(F.col("row")[c].alias(c) for c in columns))
+
+
+def repeated(rows: DataFrame, name: str, flag: str, most_hot: int = 1000) -> DataFrame:
+    """``rows``, a stored table, with a column ``flag``: whether their ``name`` (long) occurs in more than one row.
+
+    Names are counted in every task before the shuffle. A name in more than one of ``most_hot`` rows is hot; there are
+    fewer than ``most_hot`` of these, so they are broadcast, and no task gets all rows of one name.
+    """
+    counts = stored(rows.groupBy(name).agg(F.count("*").alias("count_")).where("count_ > 1"))
+    total = rows.count()
+    hot = counts.where(F.col("count_") * most_hot > total).select(name, F.lit(True).alias("hot_"))
+    marked = rows.join(F.broadcast(hot), name, "left")
+    rest = marked.where("hot_ is null").drop("hot_").join(counts.select(name, F.lit(True).alias(flag)), name, "left")
+    rest = rest.withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return marked.where("hot_").drop("hot_").withColumn(flag, F.lit(True)).unionByName(rest)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Deletes a stored table that nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/kinweave-tables/" in folder:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

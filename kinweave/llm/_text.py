@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: An odd multiplier and its inverse modulo 2**64, for positional hashes.
-_P = 0x9E3779B97F4A7C15
-_P_INV = pow(_P, -1, 1 << 64)
+#: Modulus and base of the polynomial hash of byte spans. A prime modulus: modulo 2**64 some texts collide for any base.
+_M = U64((1 << 61) - 1)
+_B = 0x0F3C6EF372FE94F8 % ((1 << 61) - 1)
 #: Bytes of text worked on at once (a longer document is worked on alone): bounds a worker's memory.
 CHUNK_BYTES = 1 << 19
 
@@ -47,36 +47,93 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers modulo 2**61 - 1."""
+    x = (x & _M) + (x >> U64(61))
+    return np.where(x >= _M, x - _M, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2**61 - 1, from halves of 31 bits; 2**62 counts as 2 and 2**61 as 1."""
+    low, high = U64((1 << 31) - 1), U64(31)
+    a0, a1, b0, b1 = a & low, a >> high, b & low, b >> high
+    mid = a1 * b0 + a0 * b1
+    return _reduced(U64(2) * a1 * b1 + (mid >> U64(30)) + ((mid & U64((1 << 30) - 1)) << high) + a0 * b0)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, dtype=U64)
+    while len(out) < n:
+        out = np.concatenate([out, _times(out, np.full(1, pow(base, len(out), int(_M)), dtype=U64))])
+    return out[:n]
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; tables longer than a chunk's are not kept."""
     tables = _tables()
-    if len(tables.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        with np.errstate(over="ignore"):
-            for name, base in (("up", _P), ("down", _P_INV)):
-                out = np.full(size, U64(base))
-                out[0] = 1
-                tables[name] = np.cumprod(out)
+    kept = CHUNK_BYTES + 1
+    if n > kept:
+        return _powers(_B, n), _powers(pow(_B, -1, int(_M)), n)
+    if "up" not in tables:
+        tables["up"], tables["down"] = _powers(_B, kept), _powers(pow(_B, -1, int(_M)), kept)
     return tables["up"], tables["down"]
 
 
-def byte_values() -> np.ndarray:
-    return mix(_LOWER.astype(U64), 77)
+class Sums:
+    """Prefix sums of byte values times powers of the base, in two parts that cannot overflow."""
 
+    __slots__ = ("low", "high", "down")
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """S with S[j]-S[i] a hash of values[i:j], to be scaled by :func:`span_hash`."""
-    up, _ = _power(len(values) + 1)
-    out = np.zeros(len(values) + 1, dtype=U64)
-    with np.errstate(over="ignore"):
-        np.cumsum(values * up[: len(values)], out=out[1:])
-    return out
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        up, self.down = _power(n + 1)
+        value = data.astype(U64) + U64(1)
+        self.low, self.high = (self._sums(value * part) for part in (up[:n] & U64((1 << 31) - 1), up[:n] >> U64(31)))
+
+    @staticmethod
+    def _sums(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x) + 1, dtype=U64)
+        for lo in range(0, len(x), 1 << 20):
+            hi = min(lo + (1 << 20), len(x))
+            out[lo + 1 : hi + 1] = np.cumsum(x[lo:hi]) + out[lo] % _M
+        return out
+
+    def __len__(self) -> int:
+        return len(self.low)
 
+    def between(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hash, before mixing, of the spans [start, end)."""
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
-    """Position-independent hashes of the spans [start, end)."""
-    _, down = _power(len(sums))
+        def part(x: np.ndarray) -> np.ndarray:
+            return _reduced(_reduced(x[end]) + _M - _reduced(x[start]))
+
+        high = part(self.high)
+        whole = part(self.low) + (((high << U64(31)) & _M) | (high >> U64(30)))
+        return _times(_reduced(whole), self.down[start])
+
+
+class WordSums(Sums):
+    """Prefix sums of word hashes times powers of the base: spans are of words."""
+
+    def __init__(self, words: np.ndarray):
+        up, self.down = _power(len(words) + 1)
+        value = _times(_reduced(words), up[: len(words)])
+        self.low, self.high = (self._sums(part) for part in (value & U64((1 << 31) - 1), value >> U64(31)))
+
+
+def prefix_sums(data: np.ndarray) -> Sums:
+    return Sums(data)
+
+
+def span_hash(sums: Sums, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Position-independent hashes of the byte spans [start, end)."""
     with np.errstate(over="ignore"):
-        return mix((sums[end] - sums[start]) * down[start] + end.astype(U64) - start.astype(U64), salt)
+        return mix(sums.between(start, end) + (end - start).astype(U64) * U64(0x9E3779B97F4A7C15), salt)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case."""
+    return _LOWER[data]
 
 
 class Words:
@@ -96,7 +153,7 @@ class Words:
         after[:-1] = inside[1:]
         self.start = np.flatnonzero(inside & (~before | edge[:-1]))
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        self.hash = span_hash(prefix_sums(byte_values()[data]), self.start, self.end)
+        self.hash = span_hash(prefix_sums(_LOWER[data]), self.start, self.end)
         self.first = np.searchsorted(self.start, offsets)
 
     def __len__(self) -> int:
@@ -109,9 +166,10 @@ def grams(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     if m <= 0:
         return np.zeros(0, dtype=U64)
     out = np.zeros(m, dtype=U64)
+    factors = mix(np.arange(n, dtype=U64), 900) | U64(1)  # unrelated ones: powers of one number let some sequences collide
     with np.errstate(over="ignore"):
         for j in range(n):
-            out += words[j : j + m] * U64(pow(_P, j, 1 << 64))
+            out += words[j : j + m] * factors[j]
     return mix(out, 1000 * n + salt)
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kinweave.llm._spark import map_arrow
-from kinweave.llm._text import U64, binary_parts, chunks, mix, prefix_sums, span_hash
+from kinweave.llm._text import binary_parts, chunks, prefix_sums, span_hash
 from kinweave.llm._unicode import SPACE, classes, per_process
 
 #: Words handed to the library at once.
@@ -35,6 +35,15 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in content.splitlines() if line.strip())}
 
 
+def same_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, of: np.ndarray) -> bool:
+    """Whether each word has the bytes of the word that ``of`` names."""
+    size = end - start
+    if not (size == size[of]).all():
+        return False
+    at = np.arange(len(data)) - np.repeat(start, size)
+    return bool((data == data[np.repeat(start[of], size) + at]).all())
+
+
 class Codec:
     """Encoder and decoder of one rank file."""
 
@@ -75,9 +84,10 @@ class Codec:
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         end = np.append(start[1:], len(data))
-        sums = prefix_sums(mix(data.astype(U64), 9))
-        _, first, which = np.unique(span_hash(sums, start, end), return_index=True, return_inverse=True)
         raw = data.tobytes()
+        _, first, which = np.unique(span_hash(prefix_sums(data), start, end), return_index=True, return_inverse=True)
+        if not same_words(data, start, end, first[which]):  # two words with one hash: then each is its own
+            first = which = np.arange(len(start))
         ids, begin = self.words([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
         count = np.diff(begin)[which]
         total = np.concatenate([[0], np.cumsum(count)])
@@ -155,7 +165,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, columns: tuple[str, ...] = ("id
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = codec(content.value)
         data, offsets = binary_parts(batch["text"])
-        for lo, hi in chunks(offsets, 8 << 20):
+        for lo, hi in chunks(offsets):
             piece, offs = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             ids, begin = own.encode(piece, offs)
             back = own.decode(ids)

@@ -74,7 +74,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "repeats")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

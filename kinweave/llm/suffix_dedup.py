@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import FILTER_BITS, filter_of, map_arrow, passes, release, stored
-from kinweave.llm._text import U64, binary_parts, chunks, mix, prefix_sums, signed, span_hash
+from kinweave.llm._spark import FILTER_BITS, drop_stored, filter_of, map_arrow, passes, quoted, release, repeated, stored
+from kinweave.llm._text import SPACED, U64, Words, WordSums, binary_parts, chunks, grams, mix, prefix_sums, signed, span_hash, word_chunks
 
 #: Bytes of a string that counts as repeated.
 LENGTH = 400
 #: Starts that one suffix can stand for, bytes of a gram, starts of a block in the refinement, batches of the index.
 WINDOW, GRAM, BLOCK, BATCHES = 256, 16, 16, 4
+#: Words of a passage that counts as repeated, starts that one of its suffixes can stand for, words of a gram.
+PASSAGE, PASSAGE_WINDOW, PASSAGE_GRAM = 51, 24, 4
 
 
 def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
@@ -37,18 +39,26 @@ def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
-def byte_sums(data: np.ndarray) -> np.ndarray:
-    return prefix_sums(mix(np.arange(256, dtype=U64), 41)[data])
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of each GRAM bytes, read as two 64-bit numbers."""
+    n = len(data) - 7
+    eight = np.zeros(max(n, 0), dtype=U64)
+    for j in range(8):
+        eight |= data[j : j + n].astype(U64) << U64(8 * j)
+    with np.errstate(over="ignore"):
+        return mix(mix(eight[:-8], 41) + eight[8:], 42)
 
 
-def sampled(sums: np.ndarray, offsets: np.ndarray, length: int, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(suffix, first start, last start) of the runs of starts that name the same suffix; starts have ``length`` bytes in their text."""
-    n = len(sums) - 1
+def sampled(h: np.ndarray, n: int, offsets: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix, first start, last start) of the runs of starts that name the same suffix.
+
+    ``h`` has the gram hash of each of the ``n`` units (bytes or words) but the last few; starts have ``length`` units in
+    their text.
+    """
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none
-    at = np.arange(n - gram + 1)
-    h = span_hash(sums, at, at + gram, 42)
+    at = np.arange(len(h))
     least = _sliding_least((h & U64(0xFFFFFFFF00000000)) | at.astype(U64), window)
     owner = (least & U64(0xFFFFFFFF)).astype(np.int64)[: n - length + 1]
     end = np.repeat(offsets[1:], np.diff(offsets))[: len(owner)]
@@ -87,19 +97,21 @@ def _more_than_once(names: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(k1, k2, doc_id, text, rest): two hashes of id and text name a row; rest holds the carried columns."""
+    """(k1, k2, doc_id, text, rest): two hashes of id and text name a row; rest is a struct of the carried columns."""
     doc_id = F.col("doc_id").cast("long")
-    rest = F.struct(F.lit(0).alias("_"), *carry).alias("rest")
-    return docs.select(rest, F.xxhash64(doc_id, "text").alias("k1"), F.xxhash64("text", doc_id, F.lit("second")).alias("k2"), doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rest = F.struct(*map(quoted, carry)) if carry else F.struct(F.lit(0).alias("none"))
+    return docs.select(rest.alias("rest"), F.xxhash64(doc_id, "text").alias("k1"), F.xxhash64("text", doc_id, F.lit("second")).alias("k2"), doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _scan(keyed: DataFrame, length: int, window: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = binary_parts(batch["text"])
         for lo, hi in chunks(offsets):
-            offs = offsets[lo : hi + 1] - offsets[lo]
-            sums = byte_sums(data[offsets[lo] : offsets[hi]])
-            p, a, b = sampled(sums, offs, length, window, GRAM)
+            offs, piece = offsets[lo : hi + 1] - offsets[lo], data[offsets[lo] : offsets[hi]]
+            if len(piece) < length:
+                continue
+            sums = prefix_sums(piece)
+            p, a, b = sampled(gram_hashes(piece), len(piece), offs, length, window)
             doc = np.searchsorted(offs, p, side="right") - 1
             row, base = pa.array(doc + lo), offs[doc]
             yield pa.RecordBatch.from_arrays(
@@ -111,7 +123,7 @@ def _scan(keyed: DataFrame, length: int, window: int) -> DataFrame:
 
 
 def _at_texts(keyed: DataFrame, places: DataFrame, columns: list[str], function, schema: str) -> DataFrame:
-    """``function(sums, places)`` for the documents that ``places`` (k1, k2, ``columns``) names.
+    """``function(bytes, *places)`` for the documents that ``places`` (k1, k2, ``columns``) names.
 
     A document's places travel as one row, their number bounded by its length; a filter of fixed size keeps most other
     documents' texts out of the shuffle.
@@ -119,22 +131,20 @@ def _at_texts(keyed: DataFrame, places: DataFrame, columns: list[str], function,
     lists = places.groupBy("k1", "k2").agg(F.collect_list(F.struct(*columns)).alias("places"))
     bitmap = filter_of(places.select("k1").distinct(), F.col("k1").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int"))
     texts = _texts(keyed, bitmap, True).select("k1", "k2", "text")
+    names = ["k1", "k2", *(x.split()[0] for x in schema.split(", "))]
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = binary_parts(batch["text"])
-        lists_ = batch["places"]
-        begin = lists_.offsets.to_numpy().astype(np.int64)
-        fields = [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in lists_.values.flatten()]
-        for i in range(len(lists_)):
-            sums = byte_sums(data[offsets[i] : offsets[i + 1]])
-            out = function(sums, *(f[begin[i] : begin[i + 1]] for f in fields))
+        begin = batch["places"].offsets.to_numpy().astype(np.int64)
+        fields = [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in batch["places"].values.flatten()]
+        for i in range(batch.num_rows):
+            out = function(data[offsets[i] : offsets[i + 1]], *(f[begin[i] : begin[i + 1]] for f in fields))
             n = len(out[0])
             if n:
                 keys = [pa.array(np.full(n, batch[k][i].as_py(), dtype=np.int64)) for k in ("k1", "k2")]
                 yield [*keys, *out]
 
     def batched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", *(x.split()[0] for x in schema.split(", "))]
         held: list[list[pa.Array]] = []
         size = 0
         for arrays in run(batch):
@@ -161,34 +171,44 @@ def _texts(keyed: DataFrame, bitmap: np.ndarray, inside: bool) -> DataFrame:
 
 def _with_partners(rows: DataFrame, shared: str, name: str, columns: list[str]) -> DataFrame:
     """The rows not yet known to repeat in full, and one row of each repeated ``name`` that has ``shared`` in common with them."""
-    left = rows.where("full is null")
+    left = rows.where("not full")
     least = rows.where("full").groupBy(name).agg(F.min(F.struct(shared, *columns)).alias("r")).select("r.*")
     partners = least.join(left.select(shared).distinct(), shared, "left_semi")
     return left.select(columns).unionByName(partners.select(columns))
 
 
+def _every(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The numbers of all the ranges [lo, hi]."""
+    count = hi - lo + 1
+    return np.arange(count.sum()) + np.repeat(lo - np.cumsum(count) + count, count)
+
+
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
     """(k1, k2, lo, to): byte spans covered by strings of ``length`` bytes that start in more than one place."""
     suffixes = stored(_scan(keyed, length, window))
     index, found = SuffixIndex(), []
     for b in range(batches):
         found.append(index.insert(suffixes.where(F.pmod("k1", F.lit(batches)) == b).select(F.col("core").alias("name"))))
-    repeated = found[0]
+    names = found[0]
     for x in found[1:]:
-        repeated = repeated.unionByName(x)
-    repeated = stored(repeated.distinct())  # a table of its own, so that a hot name's side of the join can be split
+        names = names.unionByName(x)
+    names = stored(names.distinct())
+    bitmap = filter_of(names, F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int"))
     # 1. Suffixes whose whole context, all their starts, repeats.
-    whole = _more_than_once(suffixes.select(F.col("whole").alias("name"))).select(F.col("name").alias("whole"), F.lit(True).alias("full"))
-    known = stored(suffixes.join(repeated.withColumnRenamed("name", "core"), "core", "left_semi").join(whole, "whole", "left"))
+    some = stored(_named(suffixes, bitmap))
+    drop_stored(suffixes)
+    cores = stored(repeated(some, "core", "again").where("again").drop("again"))
+    known = stored(repeated(cores, "whole", "full"))
+    for x in (some, cores, names, *found, *index.levels.values()):
+        drop_stored(x)
     release(keyed.sparkSession)
     spans = known.where("full").select("k1", "k2", "lo", (F.col("hi") + length).alias("to"))
 
     # 2. Blocks of the others' starts: what a block's strings share must repeat; if all its bytes do, so do all its strings.
-    def blocks(sums: np.ndarray, p: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[pa.Array]:
+    def blocks(text: np.ndarray, p: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[pa.Array]:
+        sums = prefix_sums(text)
         first, last = (p - hi) // BLOCK, (p - lo) // BLOCK
-        count = last - first + 1
-        which = np.repeat(np.arange(len(p)), count)
-        j = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + first[which]
+        which, j = np.repeat(np.arange(len(p)), last - first + 1), _every(first, last)
         a, b = np.maximum(p[which] - BLOCK * j - BLOCK + 1, lo[which]), np.minimum(p[which] - BLOCK * j, hi[which])
         inner = span_hash(sums, p[which] - BLOCK * j, p[which] - BLOCK * j - BLOCK + 1 + length, 45)
         outer = span_hash(sums, a, b + length, 46)
@@ -196,42 +216,112 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW,
 
     open_ = _with_partners(known, "core", "whole", ["k1", "k2", "p", "lo", "hi"])
     parts = stored(_at_texts(keyed, open_, ["p", "lo", "hi"], blocks, "lo int, hi int, inner long, outer long"))
-    again = stored(_more_than_once(parts.select(F.explode(F.array("inner", "outer")).alias("name"))))
-    parts = parts.join(again.withColumnRenamed("name", "inner"), "inner", "left_semi")
-    parts = stored(parts.join(again.select(F.col("name").alias("outer"), F.lit(True).alias("full")), "outer", "left"))
+    inside = stored(repeated(parts, "inner", "again").where("again").drop("again"))
+    drop_stored(parts)
+    parts = stored(repeated(inside, "outer", "full"))
+    drop_stored(inside)
     release(keyed.sparkSession)
     spans = spans.unionByName(parts.where("full").select("k1", "k2", "lo", (F.col("hi") + length).alias("to")))
 
     # 3. Single starts of the blocks that repeat in part.
-    def starts(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[pa.Array]:
-        count = hi - lo + 1
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
-        return [pa.array(at.astype(np.int32)), pa.array(signed(span_hash(sums, at, at + length, 47)))]
+    def starts(text: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[pa.Array]:
+        at = _every(lo, hi)
+        return [pa.array(at.astype(np.int32)), pa.array(signed(span_hash(prefix_sums(text), at, at + length, 47)))]
 
     open_ = _with_partners(parts, "inner", "outer", ["k1", "k2", "lo", "hi"])
     single = stored(_at_texts(keyed, open_, ["lo", "hi"], starts, "lo int, name long"))
-    single = single.join(_more_than_once(single.select("name")), "name", "left_semi")
+    single = repeated(single, "name", "again").where("again")
     return spans.unionByName(single.select("k1", "k2", "lo", (F.col("lo") + length).alias("to")))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES, carry: tuple[str, ...] = ()) -> DataFrame:
+def _named(suffixes: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """The suffixes whose core a filter of names lets through."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(passes(bitmap, batch["core"].to_numpy() & (FILTER_BITS - 1))))
+
+    return map_arrow(suffixes, run, suffixes.schema)
+
+
+def repeated_passages(keyed: DataFrame, words: int = PASSAGE, window: int = PASSAGE_WINDOW) -> DataFrame:
+    """(k1, k2, lo, to): byte spans covered by runs of ``words`` words that start in more than one place, letter case aside.
+
+    The same sampling over words: each run names one suffix, whose name must repeat; then whole contexts, then single runs.
+    """
+
+    def described(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for lo, _, found in word_chunks(batch["text"], SPACED):
+            g = grams(found.hash, PASSAGE_GRAM)
+            p, a, b = sampled(g, len(found.hash), found.first, words, window)
+            core = grams(found.hash, words - window + 1)[p] if len(p) else g[:0]
+            yield lo, found, p, a, b, core
+
+    def names(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for *_, core in described(batch):
+            one, n = np.unique(core, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(one)), pa.array(n)], ["name", "n"])
+
+    counts = map_arrow(keyed.select("text"), names, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    bitmap = filter_of(counts.where("n > 1"), F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int"))
+
+    def places(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for lo, found, p, a, b, core in described(batch):
+            ok = passes(bitmap, (core & U64(FILTER_BITS - 1)).astype(np.int64))
+            p, a, b, core = p[ok], a[ok], b[ok], core[ok]
+            doc = np.searchsorted(found.first, p, side="right") - 1
+            row, base = pa.array(doc + lo), found.first[doc]
+            bytes_ = [x - found.offsets[doc] for x in (found.start[a], found.end[np.minimum(b + words, len(found.end)) - 1])]
+            whole = span_hash(WordSums(found.hash), a, b + words, 48)
+            yield pa.RecordBatch.from_arrays(
+                [batch["k1"].take(row), batch["k2"].take(row), *(pa.array(x.astype(np.int32)) for x in (a - base, b - base, *bytes_)), pa.array(signed(core)), pa.array(signed(whole))],
+                ["k1", "k2", "lo", "hi", "from", "to", "core", "whole"],
+            )
+
+    some = stored(map_arrow(keyed.select("k1", "k2", "text"), places, "k1 long, k2 long, lo int, hi int, from int, to int, core long, whole long"))
+    cores = stored(repeated(some, "core", "again").where("again").drop("again"))
+    known = stored(repeated(cores, "whole", "full"))
+    drop_stored(some)
+    drop_stored(cores)
+    release(keyed.sparkSession)
+
+    def runs(text: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[pa.Array]:
+        found = Words(text, np.array([0, len(text)]), SPACED)
+        at = _every(lo, hi)
+        name = span_hash(WordSums(found.hash), at, at + words, 49)
+        return [*(pa.array(x.astype(np.int32)) for x in (found.start[at], found.end[at + words - 1])), pa.array(signed(name))]
+
+    open_ = _with_partners(known, "core", "whole", ["k1", "k2", "lo", "hi"])
+    single = stored(_at_texts(keyed, open_, ["lo", "hi"], runs, "from int, to int, name long"))
+    single = repeated(single, "name", "again").where("again")
+    found = known.where("full").select("k1", "k2", "from", "to").unionByName(single.select("k1", "k2", "from", "to"))
+    return found.withColumnRenamed("from", "lo")
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES, carry: tuple[str, ...] = (), passages: bool = False, words: int = PASSAGE) -> DataFrame:
     """Texts without the bytes of strings of ``length`` bytes that also start anywhere else.
 
-    ``docs`` has doc_id (long) and text; other columns are ignored. All occurrences go, the first too; what repeats is
-    judged on the input. Returns one row per row of ``docs``: doc_id, n_bytes, n_removed, spans (array of lo, to:
-    maximal removed runs of bytes, ascending), kept (binary: a cut can split a character), rest (a struct of ``carry``).
+    ``docs`` has doc_id (long) and text; other columns are ignored, whatever their names. All occurrences go, the first
+    too; what repeats is judged on the input. Returns one row per row of ``docs``: doc_id, n_bytes, n_removed, spans
+    (array of lo, to: maximal removed runs of bytes, ascending), kept (binary: a cut can split a character), repeats
+    (whether the text has a string of ``length`` bytes or a run of ``words`` words that also starts elsewhere), rest (a
+    struct of ``carry``). With ``passages``, such runs of words are removed as well.
 
     Null texts are empty; texts shorter than ``length`` lose nothing. Rows that repeat are copies of each other. Work per
     position is counted, never paired: names are pre-aggregated, so copies and common passages cost their own rows only.
     ``window + GRAM`` may not exceed ``length``.
     """
     keyed = _keyed(docs, carry)
-    spans = stored(repeated_spans(keyed, length, window, batches).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "to")).alias("spans")))
+    by_words = stored(repeated_passages(keyed, words, min(PASSAGE_WINDOW, words - PASSAGE_GRAM)).distinct())
+    release(keyed.sparkSession)
+    by_bytes = repeated_spans(keyed, length, window, batches).distinct()
+    every = by_bytes.withColumn("cut", F.lit(True)).unionByName(by_words.withColumn("cut", F.lit(passages)))
+    spans = stored(every.groupBy("k1", "k2").agg(F.collect_list(F.when(F.col("cut"), F.struct("lo", "to"))).alias("spans")))
+    drop_stored(by_words)
     bitmap = filter_of(spans, F.col("k1").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int"))
-    columns = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "rest"]
+    columns = ["doc_id", "n_bytes", "n_removed", "spans", "kept", "repeats", "rest"]
     empty = F.array().cast("array<struct<lo:int,to:int>>").alias("spans")
     length_ = F.octet_length("text").cast("long").alias("n_bytes")
-    whole = _texts(keyed, bitmap, False).select("doc_id", length_, F.lit(0).cast("long").alias("n_removed"), empty, F.col("text").cast("binary").alias("kept"), "rest")
+    whole = _texts(keyed, bitmap, False).select("doc_id", length_, F.lit(0).cast("long").alias("n_removed"), empty, F.col("text").cast("binary").alias("kept"), F.lit(False).alias("repeats"), "rest")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = binary_parts(batch["text"])
@@ -239,7 +329,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
         for i, found in enumerate(batch["spans"]):
             text = data[offsets[i] : offsets[i + 1]]
             own = []
-            if found.is_valid:
+            if found.is_valid and len(found.values):
                 lo, to = (x.to_numpy().astype(np.int64) for x in found.values.flatten())
                 order = np.argsort(lo, kind="stable")
                 lo, reach = lo[order], np.maximum.accumulate(to[order])
@@ -249,9 +339,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
             keep = np.ones(len(text), dtype=bool)
             for x in own:
                 keep[x["lo"] : x["to"]] = False
-            rows.append((len(text), int((~keep).sum()), own, text[keep].tobytes()))
+            rows.append((len(text), int((~keep).sum()), own, text[keep].tobytes(), found.is_valid))
         if rows:
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int32()), ("to", pa.int32())])), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int32()), ("to", pa.int32())])), pa.binary(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)), batch["rest"]], columns)
 
     touched = map_arrow(_texts(keyed, bitmap, True).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans", "rest"), run, whole.schema)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm._spark import filter_of, map_arrow, passes, slot
-from kinweave.llm._text import ALNUM, U64, Words, byte_values, mix, prefix_sums, signed, span_hash, word_chunks
+from kinweave.llm._text import ALNUM, U64, Words, lowered, mix, prefix_sums, signed, span_hash, word_chunks
 
 #: Labelled rows of either class that the model is fitted on, about (a hash picks them); half give the lexicon, half the weights.
 SAMPLE = 6000
@@ -95,7 +95,7 @@ class Lexical:
 
 def word_forms(words: Words) -> list[np.ndarray]:
     """Hashes of each word and of its stems; a word without a stem of some length has its own hash for it, salted."""
-    sums = prefix_sums(byte_values()[words.data])
+    sums = prefix_sums(lowered(words.data))
     size = words.end - words.start
     out = [mix(words.hash, 20)]
     for n in STEMS:

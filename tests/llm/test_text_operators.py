@@ -13,7 +13,6 @@ from kinweave.llm.bpe import Codec, bpe_decode, bpe_encode
 from kinweave.llm.decontaminate import contamination
 from kinweave.llm.language_id import fit_language_id, identify_language
 from kinweave.llm.licenses import license_scan
-from kinweave.llm.lm import ORDER, discounts, fit_katz, katz_scores, token_rows
 from kinweave.llm.near_dedup import near_duplicates
 from kinweave.llm.suffix_dedup import remove_repeats
 from kinweave.llm.toxicity import fit_toxicity, grammar, reject_toxic, score_toxicity
@@ -219,39 +218,6 @@ def test_grammar_tells_clauses_apart():
     assert s(REPORT, INSULT)[REPORTED] == 1 and s(THREAT, TARGET)[THREATENING] == 1 and s(THREAT).sum() == 0
 
 
-def test_katz(spark):
-    rows = [(i, t) for i, t in enumerate(["a b a b c", "a b b", "", None, "c c a", "a b", "d e f g", "b a", "a c", "zz zz"])]
-    df = spark.createDataFrame(rows + [rows[1]], "doc_id long, text string")
-    got = katz_scores(df, F.col("doc_id") != 9).collect()
-    train = [spaced(t) + ["</s>"] for i, t in rows + [rows[1]] if i != 9]
-    counts: dict = {}
-    for w in (w for t in train for w in t):
-        counts[w] = counts.get(w, 0) + 1
-    n, v = sum(counts.values()), len(counts)
-    for r in got:
-        w = spaced(dict(rows)[r["doc_id"]]) + ["</s>"]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(x in counts for x in w), n)
-        assert r["base_score"] == pytest.approx(sum(np.log10((counts.get(x, 0) + 1) / (n + v + 1)) for x in w))
-        assert r["score"] < 0
-    assert len(got) == 11
-    # After every history, the probabilities of all words and the unknown one sum to one.
-    marked = df.select(F.col("doc_id").alias("k1"), F.col("doc_id").alias("k2"), "doc_id", (F.col("doc_id") != 9).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
-    tokens = token_rows(marked, ORDER).persist()
-    model = fit_katz(tokens, ORDER)
-    uni = {r["name"]: r["p"] for r in model.grams[1].collect()}
-    assert sum(uni.values()) + model.unknown == pytest.approx(1)
-    alpha = {r["history"]: r["alpha"] for r in model.weights[2].collect()}
-    p2 = {r["name"]: r["p"] for r in model.grams[2].collect()}
-    seen: dict = {}
-    for r in tokens.where("train").select("h2", "g1", "g2").distinct().collect():
-        seen.setdefault(r["h2"], {})[r["g1"]] = p2[r["g2"]]
-    for h, words in seen.items():
-        total = sum(words.values()) + alpha[h] * (sum(p for w, p in uni.items() if w not in words) + model.unknown)
-        assert total == pytest.approx(1)
-    assert all(0 < d < 1 for d in discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 5})) and all(0 < d < 1 for d in discounts({}))
-    assert katz_scores(df.limit(0), F.lit(True)).count() == 0
-
-
 def test_toxicity_cut_is_that_of_all_rows(spark):
     """A word in all of 200 toxic and a thirteenth of 4800 clean texts: a text with it is more likely clean, sampled or not."""
     rng = random.Random(4)
@@ -268,24 +234,3 @@ def test_toxicity_cut_is_that_of_all_rows(spark):
     whole, sampled = (score_toxicity(odd, fit_toxicity(df, df, sample=n)).first() for n in (6000, 400))
     assert whole["predicted"] == sampled["predicted"] == 0
     assert abs(whole["score"] - sampled["score"]) < 0.15 and whole["score"] > 0.2
-
-
-def test_katz_of_order_three(spark):
-    """The registered order backs off twice, and after every two words the probabilities of all words sum to one."""
-    assert ORDER == 3
-    rows = [(i, t) for i, t in enumerate(["a b a b c", "a b b", "c c a", "a b", "d e f g", "b a", "a c a b"])]
-    df = spark.createDataFrame(rows, "k1 long, text string").selectExpr("k1", "k1 as k2", "k1 as doc_id", "true as train", "text")
-    tokens = token_rows(df, 3).persist()
-    model = fit_katz(tokens, 3)
-    p1, p2, p3 = ({r["name"]: r["p"] for r in model.grams[m].collect()} for m in (1, 2, 3))
-    a2, a3 = ({r["history"]: r["alpha"] for r in model.weights[m].collect()} for m in (2, 3))
-    two, three, lower = {}, {}, {}
-    for r in tokens.collect():
-        two.setdefault(r["h2"], {})[r["g1"]] = p2[r["g2"]]
-        three.setdefault(r["h3"], {})[r["g1"]] = p3[r["g3"]]
-        lower[r["h3"]] = r["h2"]
-    assert len(three) > len(two)
-    for h, words in three.items():
-        g = lower[h]
-        rest = sum(two[g].get(w, a2[g] * p) for w, p in p1.items() if w not in words) + a2[g] * model.unknown
-        assert sum(words.values()) + a3[h] * rest == pytest.approx(1)
