@@ -39,15 +39,17 @@ def whole_characters(kept: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts byte strings of 400 that start in several places out of the texts; a character that a cut splits goes too.
+    """Cuts what starts in several places out of the texts: strings of 400 bytes, and passages of over 50 words.
+
+    A character that a cut splits goes too.
 
     Every document stays, if with an empty text; n_chars is that of the new text.
     """
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    made = remove_repeats(docs, carry=rest)
+    made = remove_repeats(docs, carry=rest, passages=True)
     whole = F.arrow_udf(whole_characters, "string")
     text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(whole("kept", "spans"))
-    out = made.select("doc_id", text.alias("text"), *(F.col(f"rest.{c}").alias(c) for c in rest))
+    out = made.select("doc_id", text.alias("text"), *(F.col("rest")[c].alias(c) for c in rest))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(docs.columns)
