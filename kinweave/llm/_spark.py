@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -55,9 +56,10 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps: it does so when the driver's garbage is collected."""
+    """Lets Spark delete the shuffle files of finished steps: it does so, beside other work, once the driver's garbage is collected."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
 
 
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:

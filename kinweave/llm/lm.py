@@ -29,8 +29,8 @@ from kinweave.llm._text import SPACED, U64, binary_parts, chunks, mix, signed, w
 
 #: Longest n-gram; counts above MOST are not discounted.
 ORDER, MOST = 3, 5
-#: Commonest words, which are broadcast with their counts (4 MB at most) and written as numbers.
-HEAD = 1 << 18
+#: Commonest words, which are broadcast with their counts (8 MB at most) and written as numbers.
+HEAD = 1 << 19
 #: Bytes of text of a chunk, tokens of a bucket, and tokens of a word that is dealt over several buckets.
 CHUNK, BUCKET, HEAVY = 8 << 20, 1 << 20, 1 << 21
 
@@ -495,10 +495,14 @@ def katz_scores(docs: DataFrame, train: Column, order: int = ORDER, most: int =
     release(spark)
 
     rare = _rare_words(rows, order, shared, buckets).distinct().join(singles, "word")
+    rare = stored(rare.select("bucket", "word", "c"))
+    drop_stored(singles)
+    release(spark)
+    told = rare
     rare = rare.groupBy("bucket").agg(F.collect_list(F.struct("word", "c")).alias("x")).select("bucket", F.lit(None).cast("binary").alias("chunk"), F.lit(None).cast("binary").alias("blob"), F.col("x.word").alias("words"), F.col("x.c").alias("counts"))
     sent = _sent(rows, order, shared, buckets).unionByName(rare).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     model = stored(_merged(sent, order, most, shared, sorted(heavy)))
-    drop_stored(singles)
+    drop_stored(told)
     release(spark)
 
     grams = model.where("bucket >= 0")
