@@ -1,4 +1,9 @@
-"""Approximate nearest neighbours: a graph built by NN-descent (Dong et al., 2011), searched greedily."""
+"""Approximate nearest neighbours: a graph built by NN-descent (Dong et al., 2011), searched greedily.
+
+Equal vectors are one node, whatever their number. The first graph comes from dealing the nodes to blocks that are ordered
+by nearest pivot and then along a line, and comparing each block with itself; rounds of joins of neighbours of neighbours go
+on from there until few edges are new. Queries start at their own node.
+"""
 
 from __future__ import annotations
 
@@ -9,26 +14,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import map_arrow, release, stored
+from kinweave.llm._spark import drop_stored, map_arrow, release, stored
 
-#: Neighbours kept for a node, reverse neighbours joined with them, and candidates a list proposes for each member.
-K, REVERSE, PROPOSED = 20, 14, 6
+#: Neighbours kept for a node, and at most so many of them, and of the nodes they are neighbours of, in a local join.
+K, FORWARD, REVERSE, PROPOSED = 20, 12, 8, 6
 #: Rounds go on until fewer than this share of the edges is new.
-SETTLED = 0.02
-#: Rows compared with each other in the random first graph, and how many such dealings.
-BLOCK, DEALINGS = 64, 2
+SETTLED = 0.05
+#: First graph: nodes compared with each other, dealings, best kept of a block, pivots of a dealing.
+BLOCK, DEALINGS, KEPT, PIVOTS = 2048, 14, 12, 64
 #: Search: best candidates kept and looked through for a query at first, and the share of them expanded in a step.
-BEAM, STEP = 64, 1 / 6
+BEAM, STEP = 128, 1 / 2
 #: Queries that the beam is measured on by an exact scan, and their recall below which it is doubled.
-SAMPLE, RECALL = 256, 0.95
-
-
-def _drop(df: DataFrame) -> None:
-    """Deletes a stored table that nothing reads any more."""
-    sc = df.sparkSession.sparkContext
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+SAMPLE, RECALL = 256, 0.93
 
 
 def _vectors(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,74 +38,132 @@ def _vectors(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _short(x: np.ndarray) -> list[bytes]:
-    """Directions in a byte a component; good enough to steer by."""
-    top = np.abs(x).max(axis=1, keepdims=True)
-    return [r.tobytes() for r in np.rint(x / top * 127).astype(np.int8)]
+    """Directions in half precision, to steer by."""
+    return [r.tobytes() for r in _directions(x).astype(np.float16)]
+
+
+def _directions(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _unit(column: pa.Array) -> np.ndarray:
-    x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.int8).reshape(len(column), -1).astype(np.float32)
+    x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float16).reshape(len(column), -1).astype(np.float32)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def node_table(vectors: DataFrame) -> DataFrame:
-    """(id, q, vector): usable vectors of the table's commonest length, one an id (the least, if an id repeats), and their short form."""
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of a with those of b, in double precision."""
+    return (_directions(a) * _directions(b)).sum(axis=1)
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """(id, vector, key): usable vectors of the table's commonest length, one an id (the least, if an id repeats).
+
+    Equal vectors have equal keys, two 64-bit hashes.
+    """
     given = vectors.where("id is not null and size(vector) > 0")
     common = given.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
     size = common["size"] if common else 1
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at, x = _vectors(batch["vector"], size)
-        yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at)), pa.array(_short(x), pa.binary()), pa.array(list(x), pa.list_(pa.float64()))], ["id", "q", "vector"])
+        yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at)), pa.array(list(x + 0.0), pa.list_(pa.float64()))], ["id", "vector"])
 
     one = given.where(F.size("vector") == size).groupBy("id").agg(F.min("vector").alias("vector"))
-    return stored(map_arrow(one, run, "id long, q binary, vector array<double>"))
+    made = map_arrow(one, run, "id long, vector array<double>")
+    return stored(made.withColumn("key", F.struct(F.xxhash64("vector").alias("a"), F.xxhash64(F.lit(1), "vector").alias("b"))))
+
+
+def node_table(rows: DataFrame) -> DataFrame:
+    """(id, key, q, vector): one node for equal vectors, named by their least id, and its direction in short form."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows:
+            x = batch["vector"].flatten().to_numpy().reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["key"], pa.array(_short(x), pa.binary()), batch["vector"]], ["id", "key", "q", "vector"])
+
+    one = rows.groupBy("key").agg(F.min("id").alias("id"), F.first("vector").alias("vector")).select("id", "key", "vector")
+    return stored(map_arrow(one, run, "id long, key struct<a:long,b:long>, q binary, vector array<double>"))
 
 
-def _best(x: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _best(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, other, similarity) of the k best others of each row."""
     s = x @ x.T
     np.fill_diagonal(s, -2)
-    s[own[:, None] == own[None, :]] = -2
     k = min(k, len(x) - 1)
     if k <= 0:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.float32)
+        return none, none, np.zeros(0)
     to = np.argpartition(-s, k - 1, axis=1)[:, :k]
     row = np.repeat(np.arange(len(x)), k)
     to = to.reshape(-1)
-    ok = s[row, to] > -2
-    return row[ok], to[ok], s[row, to][ok]
+    return row, to, s[row, to]
 
 
-def _first_graph(nodes: DataFrame, dealing: int) -> DataFrame:
-    """Each node's best in a block of BLOCK nodes dealt by a hash."""
+def _first_graph(nodes: DataFrame, dealings: int = DEALINGS) -> DataFrame:
+    """(v, u, s): each node's best in blocks of BLOCK nodes, dealt ``dealings`` times.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A dealing orders nodes by the nearest of PIVOTS of its own (drawn by a hash) and then along a line of its own, so that
+    blocks of neighbours in that order are close; no block is larger, however many nodes are near one pivot.
+    """
+    drawn = nodes.orderBy(F.xxhash64("id", F.lit("pivot"))).limit(PIVOTS * dealings).select("id", "vector").toArrow()
+    pivots = _directions(np.array(drawn["vector"].to_pylist(), dtype=float)) if len(drawn) else np.zeros((0, 1))
+    own = [pivots[d::dealings] for d in range(dealings)]
+    own = [x for x in own if len(x)]
+    lines = np.random.default_rng(7).normal(size=(len(own), pivots.shape[1]))
+
+    def deal(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if batch.num_rows and own:
+            x = _directions(batch["vector"].flatten().to_numpy().reshape(batch.num_rows, -1))
+            short = pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())
+            for d, p in enumerate(own):
+                near = (x @ p.T).argmax(axis=1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), d, np.int32)), pa.array(near), pa.array(x @ lines[d]), batch["id"], short], ["deal", "near", "place", "id", "x"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(lo, BLOCK)
-                ids = part["id"].to_numpy()
-                row, to, s = _best(_unit(part["q"]), ids, K)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(ids[to]), pa.array(s, pa.float32())], ["v", "u", "s"])
-
-    order = F.xxhash64("id", F.lit(dealing))
-    return nodes.select("id", "q", order.alias("o")).repartition(F.shiftright("o", 50)).sortWithinPartitions("o").select("id", "q").mapInArrow(run, "v long, u long, s float")
+            held.append(batch)
+            size += batch.num_rows
+            while size >= 2 * BLOCK:
+                whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield from block(whole.slice(0, BLOCK))
+                held, size = [whole.slice(BLOCK)], size - BLOCK
+        if size:  # what is left, under two blocks, is halved
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            half = size if size <= BLOCK else -(-size // 2)
+            for lo in range(0, size, half):
+                yield from block(whole.slice(lo, half))
+
+    def block(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, deals = part["id"].to_numpy(), part["deal"].to_numpy()
+        x = np.frombuffer(b"".join(part["x"].to_pylist()), dtype=np.float32).reshape(len(ids), -1).astype(np.float64)
+        for d in np.unique(deals):
+            at = np.flatnonzero(deals == d)
+            row, to, s = _best(x[at], KEPT)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at][row]), pa.array(ids[at][to]), pa.array(s.astype(np.float32))], ["v", "u", "s"])
+
+    dealt = map_arrow(nodes.select("id", "vector"), deal, "deal int, near int, place double, id long, x binary")
+    return dealt.repartitionByRange("deal", "near", "place", "id").sortWithinPartitions("deal", "near", "place", "id").mapInArrow(compare, "v long, u long, s float")
 
 
 def _top(edges: DataFrame, k: int) -> DataFrame:
-    """The k best u of each v; an edge that was there before is not new."""
-    one = edges.groupBy("v", "u").agg(F.max("s").alias("s"), F.min("new").alias("new"))
+    """The k best u of each v; an edge that was there before keeps its mark."""
+    one = edges.repartition("v").groupBy("v", "u").agg(F.max("s").alias("s"), F.min("new").alias("new"))
     rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), "u"))
     return one.withColumn("r", rank).where(F.col("r") <= k).drop("r")
 
 
-def _both_ways(graph: DataFrame, salt: int) -> DataFrame:
-    """Edges and, for each node, at most REVERSE of those that lead to it."""
-    back = graph.select(F.col("u").alias("v"), F.col("v").alias("u"), "new")
+def _lists(graph: DataFrame, forward: int, reverse: int, salt: int) -> tuple[DataFrame, DataFrame]:
+    """The graph with marks ``now`` for at most ``forward`` neighbours of a node, new ones first; and (v, u, new) of these and, for each node, at most ``reverse`` of those that lead to it."""
+    chance = F.xxhash64("u", "v", F.lit(salt))
+    marked = graph.withColumn("now", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("new"), chance)) <= forward)
+    edges = marked.where("now").select("v", "u", "new")
+    back = edges.select(F.col("u").alias("v"), F.col("v").alias("u"), "new")
     pick = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("new"), F.xxhash64("u", "v", F.lit(salt))))
-    back = back.withColumn("r", pick).where(F.col("r") <= REVERSE).drop("r")
-    return graph.select("v", "u", "new").unionByName(back).groupBy("v", "u").agg(F.max("new").alias("new"))
+    back = back.withColumn("r", pick).where(F.col("r") <= reverse).drop("r")
+    return marked, edges.unionByName(back).groupBy("v", "u").agg(F.max("new").alias("new"))
 
 
 def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
@@ -122,12 +177,12 @@ def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
         x, ids, new, least = _unit(q), ids.to_numpy(), new.to_numpy(zero_copy_only=False), least.to_numpy()
         vs, us, ss = [], [], []
         for a, b in zip(begin[:-1] - begin[0], begin[1:] - begin[0], strict=True):
+            k = min(PROPOSED, b - a - 1)
+            if k <= 0 or not new[a:b].any():
+                continue
             s = x[a:b] @ x[a:b].T
             s[~(new[a:b, None] | new[None, a:b])] = -2
             np.fill_diagonal(s, -2)
-            k = min(PROPOSED, b - a - 1)
-            if k <= 0:
-                continue
             to = np.argpartition(-s, k - 1, axis=1)[:, :k].reshape(-1)
             row = np.repeat(np.arange(b - a), k)
             ok = s[row, to] > least[a:b][row]
@@ -139,28 +194,32 @@ def _round(graph: DataFrame, nodes: DataFrame, number: int) -> DataFrame:
 
     worst = graph.groupBy("v").agg(F.when(F.count("*") >= K, F.min("s")).alias("least")).select(F.col("v").alias("id"), "least")
     described = nodes.select("id", "q").join(worst, "id", "left").select(F.col("id").alias("u"), "q", F.coalesce("least", F.lit(-2.0).cast("float")).alias("least"))
-    lists = _both_ways(graph, number).join(described, "u").groupBy("v").agg(F.collect_list(F.struct("u", "q", "new", "least")).alias("near"))
+    marked, lists = _lists(graph, FORWARD, REVERSE, number)
+    lists = lists.join(lists.groupBy("v").agg(F.max("new").alias("some")).where("some").select("v"), "v", "left_semi")
+    lists = lists.join(described, "u").groupBy("v").agg(F.collect_list(F.struct("u", "q", "new", "least")).alias("near"))
     found = map_arrow(lists.select("near"), run, "v long, u long, s float")
-    old = graph.select("v", "u", "s", F.lit(False).alias("new"))
-    return stored(_top(old.unionByName(found.select("v", "u", "s", F.lit(True).alias("new"))), K))
+    old = marked.select("v", "u", "s", (F.col("new") & ~F.col("now")).alias("new"), F.lit(0).alias("fresh"))
+    every = old.unionByName(found.select("v", "u", "s", F.lit(True).alias("new"), F.lit(1).alias("fresh")))
+    one = every.repartition("v").groupBy("v", "u").agg(F.max("s").alias("s"), F.min("new").alias("new"), F.min("fresh").alias("fresh"))
+    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), "u"))
+    return stored(one.withColumn("r", rank).where(F.col("r") <= K).drop("r"))
 
 
 def neighbour_graph(nodes: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(v, u, s, new): about the K nearest of each node. A list holds at most K + REVERSE nodes, however popular they are.
+    """(v, u, s, new, fresh): about the K nearest of each node. Joined lists hold at most FORWARD + REVERSE nodes, however popular they are.
 
     Rounds go on until the graph has settled (see SETTLED), at most ``rounds`` if given.
     """
-    first = _first_graph(nodes, 0)
-    for d in range(1, DEALINGS):
-        first = first.unionByName(_first_graph(nodes, d))
-    graph = stored(_top(first.select("v", "u", "s", F.lit(True).alias("new")), K))
+    graph = stored(_top(_first_graph(nodes).withColumn("new", F.lit(True)), K))
+    release(nodes.sparkSession)
     r = 0
     while rounds is None or r < rounds:
         before, graph = graph, _round(graph, nodes, r)
-        _drop(before)
+        drop_stored(before)
         release(nodes.sparkSession)
         r += 1
-        if graph.where("new").count() <= SETTLED * graph.count():
+        share = graph.agg(F.avg("fresh")).first()[0] or 0.0
+        if share <= SETTLED:
             break
     return graph
 
@@ -169,15 +228,14 @@ def exact_neighbours(nodes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score): the k nearest of a few queries (query_id, vector), by one scan of all nodes."""
     asked = queries.select("query_id", "vector").toArrow()
     names = asked["query_id"].to_numpy()
-    y = np.array(asked["vector"].to_pylist(), dtype=np.float64).reshape(len(names), -1 if len(names) else 0)
-    y /= np.sqrt((y * y).sum(axis=1, keepdims=True))
+    y = _directions(np.array(asked["vector"].to_pylist(), dtype=np.float64)) if len(names) else np.zeros((0, 0))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if not (batch.num_rows and len(names)):
             return
         ids = batch["id"].to_numpy()
         x = batch["vector"].flatten().to_numpy().reshape(len(ids), -1)
-        s = y @ (x / np.sqrt((x * x).sum(axis=1, keepdims=True))).T
+        s = y @ _directions(x).T
         s[names[:, None] == ids[None, :]] = -2
         n = min(k, len(ids))
         to = np.argpartition(-s, n - 1, axis=1)[:, :n].reshape(-1)
@@ -197,66 +255,88 @@ def recall_of(found: DataFrame, truth: DataFrame) -> float:
     return row["hit"] / row["n"] if row["n"] else 1.0
 
 
-def search(nodes: DataFrame, ways: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
-    """(query_id, rank, id, score): the k nearest found of each query (query_id, q, vector, start), start a node to begin at.
+def search(nodes: DataFrame, ways: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """((query_id, id, score), state): the k + 1 nearest found of each query (query_id, q, vector, start), start a node to begin at.
 
-    ``ways`` (v, u) are the edges to go by. The search ends when all of a query's ``beam`` best nodes have been expanded.
+    ``ways`` (v, u) are the edges to go by. The search ends when all of a query's ``beam`` best nodes have been expanded;
+    with the ``state`` of a search with a smaller beam it goes on from there.
     """
 
     def seen(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        a, b = _unit(batch["qq"]), _unit(batch["q"])
-        yield pa.RecordBatch.from_arrays([batch["query_id"], batch["u"], pa.array((a * b).sum(axis=1), pa.float32())], ["query_id", "u", "s"])
+        if batch.num_rows:
+            a, b = _unit(batch["qq"]), _unit(batch["q"])
+            yield pa.RecordBatch.from_arrays([batch["query_id"], batch["u"], pa.array((a * b).sum(axis=1), pa.float32())], ["query_id", "u", "s"])
 
     def exact(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        a, b = (np.array(batch[c].to_pylist(), dtype=np.float64).reshape(batch.num_rows, -1) for c in ("qv", "vector"))
-        cos = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
-        yield pa.RecordBatch.from_arrays([batch["query_id"], batch["u"], pa.array(cos)], ["query_id", "u", "score"])
+        if batch.num_rows:
+            a, b = (np.array(batch[c].to_pylist(), dtype=np.float64).reshape(batch.num_rows, -1) for c in ("qv", "vector"))
+            yield pa.RecordBatch.from_arrays([batch["query_id"], batch["u"], pa.array(_cosines(a, b))], ["query_id", "u", "score"])
 
-    shorts = stored(queries.select("query_id", F.col("q").alias("qq")))
+    shorts = queries.select("query_id", F.col("q").alias("qq"))
     node = nodes.select(F.col("id").alias("u"), "q")
-    state = queries.select("query_id", F.col("start").alias("u"), F.lit(2.0).cast("float").alias("s"), F.lit(False).alias("done"))
+    if state is None:
+        state = queries.select("query_id", F.col("start").alias("u"), F.lit(2.0).cast("float").alias("s"), F.lit(False).alias("done"))
     place = Window.partitionBy("query_id").orderBy(F.desc("s"), "u")
-    turn = Window.partitionBy("query_id", "done").orderBy(F.desc("s"), "u")
+    turn = Window.partitionBy("query_id").orderBy("done", F.desc("s"), "u")
     last = None
     while True:
-        marked = stored(state.withColumn("now", (~F.col("done")) & (F.row_number().over(turn) <= max(1, round(beam * STEP)))))
+        best = state.withColumn("r", F.row_number().over(place)).where(F.col("r") <= 4 * beam).withColumn("now", (F.col("r") <= beam) & ~F.col("done"))
+        best = best.withColumn("t", F.row_number().over(turn)).withColumn("now", F.col("now") & (F.col("t") <= max(1, round(beam * STEP)))).drop("t", "r")
+        marked = stored(best)
         if last is not None:
-            _drop(last)
+            drop_stored(last)
             release(nodes.sparkSession)
         last = marked
         if marked.where("now").isEmpty():
             break
-        fresh = marked.where("now").select("query_id", F.col("u").alias("v")).join(ways, "v").select("query_id", "u").distinct().join(marked.select("query_id", "u"), ["query_id", "u"], "left_anti").where("u <> query_id")
+        fresh = marked.where("now").select("query_id", F.col("u").alias("v")).join(ways, "v").select("query_id", "u").distinct().join(marked.select("query_id", "u"), ["query_id", "u"], "left_anti")
         scored = map_arrow(fresh.join(node, "u").join(shorts, "query_id").select("query_id", "u", "q", "qq"), seen, "query_id long, u long, s float")
-        both = marked.select("query_id", "u", "s", (F.col("done") | F.col("now")).alias("done")).unionByName(scored.withColumn("done", F.lit(False)))
-        state = both.withColumn("r", F.row_number().over(place)).where(F.col("r") <= beam).drop("r")
-    state = marked
-    best = state.where("u <> query_id").withColumn("r", F.row_number().over(place)).where(F.col("r") <= 4 * k).select("query_id", "u")
-    pairs = best.join(nodes.select(F.col("id").alias("u"), "vector"), "u").join(queries.select("query_id", F.col("vector").alias("qv")), "query_id")
+        state = marked.select("query_id", "u", "s", (F.col("done") | F.col("now")).alias("done")).unionByName(scored.withColumn("done", F.lit(False)))
+    near = marked.withColumn("r", F.row_number().over(place)).where(F.col("r") <= beam).select("query_id", "u")
+    pairs = near.join(nodes.select(F.col("id").alias("u"), "vector"), "u").join(queries.select("query_id", F.col("vector").alias("qv")), "query_id")
     scores = map_arrow(pairs.select("query_id", "u", "qv", "vector"), exact, "query_id long, u long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "u"))
-    return scores.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("u").alias("id"), "score")
+    found = scores.withColumn("rank", rank).where(F.col("rank") <= k + 1).select("query_id", F.col("u").alias("id"), "score")
+    return stored(found), marked.drop("now")
 
 
 def nearest_neighbours(vectors: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5, rounds: int | None = None, recall: float = RECALL) -> DataFrame:
     """The k nearest other rows, by cosine, of the rows that the condition ``is_query`` (on a column ``id``) names.
 
     Returns query_id, rank (from 1), id, score (cosine of the original vectors in double precision), ties to the smaller
-    id. Vectors that are null, zero, or hold nulls or non-finite numbers take no part, nor do rows without an id; if an
-    id repeats, its least vector counts. Fewer than k others give fewer rows; an empty table gives none. Vectors
-    of another length than the table's commonest (the longer, if two are as common) take no part. Queries are rows of the index and begin at their own node.
-
-    The beam grows with what the table needs: about SAMPLE of the queries are compared with an exact scan, and the beam is
-    doubled until their recall is at least ``recall`` or it holds the whole table. All queries are then searched with it.
+    id. ``vectors`` may have any other columns. Vectors that are null, zero, or hold nulls or non-finite numbers take no
+    part, nor do rows without an id; if an id repeats, its least vector counts. Fewer than k others give fewer rows; an
+    empty table gives none. Vectors of another length than the table's commonest (the longer, if two are as common) take
+    no part. Queries are rows of the index and begin at their own node. Equal vectors are one node of the graph; of each,
+    the k + 1 smallest ids are kept for answers, which is all that an answer can need.
+
+    The beam grows with what the table needs: about SAMPLE of the queries are compared with an exact scan, and the search
+    of all goes on with twice the beam until their recall is at least ``recall`` or the beam holds the whole table.
     """
-    nodes = node_table(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")))
+    rows = usable(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")))
+    nodes = node_table(rows)
+    names = nodes.select("key", F.col("id").alias("node"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    members = rows.select("id", "key").withColumn("r", first).where(F.col("r") <= k + 1).join(names, "key").select("node", F.col("id").alias("member"))
+    asked = stored(rows.where(is_query).select("id", "key").join(names, "key").select(F.col("id").alias("query"), "node"))
     graph = neighbour_graph(nodes, rounds)
-    ways = stored(_both_ways(graph, 99).select("v", "u"))
-    queries = stored(nodes.where(is_query).select(F.col("id").alias("query_id"), "q", "vector", F.col("id").alias("start")))
-    n, asked = nodes.count(), queries.count()
+    edges = graph.select("v", "u")
+    back = graph.select(F.col("u").alias("v"), F.col("v").alias("u"), "s")
+    back = back.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("s"), "u"))).where(F.col("r") <= K).select("v", "u")
+    ways = stored(edges.unionByName(back).distinct())
+    drop_stored(graph)
+    release(nodes.sparkSession)
+    queries = stored(nodes.join(asked.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("query_id"), "q", "vector", F.col("id").alias("start")))
+    n = nodes.count()
     pilot = stored(queries.orderBy(F.xxhash64("query_id"), "query_id").limit(SAMPLE))
     truth = stored(exact_neighbours(nodes, pilot, k))
-    beam = BEAM
-    while recall_of(found := stored(search(nodes, ways, pilot, k, beam)), truth) < recall and beam < n:
+    beam, state = BEAM, None
+    while True:
+        found, state = search(nodes, ways, queries, k, beam, state)
+        others = found.where("id <> query_id").join(F.broadcast(pilot.select("query_id")), "query_id", "left_semi")
+        if recall_of(others, truth) >= recall or beam >= n:
+            break
         beam *= 2
-    return found if asked <= SAMPLE else search(nodes, ways, queries, k, beam)
+    answers = asked.withColumnRenamed("node", "query_id").join(found, "query_id").join(members.withColumnRenamed("node", "id").withColumnRenamed("member", "other"), "id").where("other <> query")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "other"))
+    return answers.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("other").alias("id"), "score")
