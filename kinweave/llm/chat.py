@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: What stands around a message.
@@ -14,6 +14,11 @@ def _escaped(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"<\|im_", r"<\\|im_")
 
 
+def _name(who: Column) -> Column:
+    """A speaker's name as it stands in a head: without markers, and on one line."""
+    return F.regexp_replace(_escaped(who), r"[\x00-\x1F\x7F\x{85}\x{2028}\x{2029}]+", " ")
+
+
 def rotate_perspectives(conversations: DataFrame) -> DataFrame:
     """Each dialogue once for each of its participants, rendered with that speaker as assistant.
 
@@ -21,7 +26,8 @@ def rotate_perspectives(conversations: DataFrame) -> DataFrame:
     conversation and participant: conv_id, perspective, n_turns, n_own, rendered, mask (array of start and size, in
     characters of rendered: the assistant's words and the closing marker, what a model is to learn), n_masked. Others
     appear as users with a name. Turns go by turn number, ties by role and text; a null text is empty; a turn without a
-    role is spoken by ``unknown``; rows without conv_id take no part; repeated rows repeat. A conversation's messages
+    role is spoken by ``unknown``; rows without conv_id take no part; repeated rows
+    repeat; names are written on one line and without markers, so that no name can open a message. A conversation's messages
     meet in one row, as they must in the result. Built-in functions only.
     """
     speaker = F.when(F.length(F.trim("role")) > 0, F.trim("role")).otherwise("unknown")
@@ -29,24 +35,18 @@ def rotate_perspectives(conversations: DataFrame) -> DataFrame:
     whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("m")).alias("messages"))
     seen = whole.select("conv_id", "messages", F.explode(F.array_distinct("messages.who")).alias("perspective"))
 
-    def head(m: Column) -> Column:
-        return F.when(m["who"] == F.col("perspective"), F.lit(f"{OPEN}assistant\n")).otherwise(F.concat(F.lit(f"{OPEN}user name="), m["who"], F.lit("\n")))
-
-    parts = F.transform("messages", lambda m: F.struct(head(m).alias("head"), F.concat(m["text"], F.lit(CLOSE)).alias("body"), (m["who"] == F.col("perspective")).alias("own")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,size:int>>").alias("mask"))
-
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + F.length(m["head"])
-        span = F.array(F.struct(start.alias("start"), F.length(m["body"]).alias("size")))
-        return F.struct((start + F.length(m["body"])).alias("at"), F.when(m["own"], F.concat(acc["mask"], span)).otherwise(acc["mask"]).alias("mask"))
-
-    made = seen.withColumn("parts", parts).withColumn("mask", F.aggregate("parts", begin, step, lambda acc: acc["mask"]))
-    return made.select(
-        "conv_id",
-        "perspective",
-        F.size("parts").cast("long").alias("n_turns"),
-        F.size("mask").cast("long").alias("n_own"),
-        F.array_join(F.transform("parts", lambda m: F.concat(m["head"], m["body"])), "").alias("rendered"),
-        "mask",
-        F.aggregate("mask", F.lit(0), lambda acc, m: acc + m["size"]).cast("long").alias("n_masked"),
+    # Numbers of a perspective's head and of its body by turn; each is a sum over all turns before, from one pass by a window.
+    own = F.col("m")["who"] == F.col("perspective")
+    head = F.when(own, F.lit(f"{OPEN}assistant\n")).otherwise(F.concat(F.lit(f"{OPEN}user name="), _name(F.col("m")["who"]), F.lit("\n")))
+    body = F.concat(F.col("m")["text"], F.lit(CLOSE))
+    turns_ = seen.select("conv_id", "perspective", F.posexplode("messages").alias("at", "m")).select("conv_id", "perspective", "at", own.alias("own"), head.alias("head"), body.alias("body"))
+    before = Window.partitionBy("conv_id", "perspective").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = turns_.withColumn("start", F.coalesce(F.sum(F.length("head") + F.length("body")).over(before), F.lit(0)) + F.length("head"))
+    made = placed.groupBy("conv_id", "perspective").agg(
+        F.count("*").alias("n_turns"),
+        F.count_if("own").alias("n_own"),
+        F.sort_array(F.collect_list(F.struct("at", F.concat("head", "body").alias("part")))).alias("parts"),
+        F.sort_array(F.collect_list(F.when(F.col("own"), F.struct(F.col("start").cast("int").alias("start"), F.length("body").alias("size"))))).alias("mask"),
+        F.coalesce(F.sum(F.when(F.col("own"), F.length("body"))), F.lit(0)).cast("long").alias("n_masked"),
     )
+    return made.select("conv_id", "perspective", "n_turns", "n_own", F.array_join("parts.part", "").alias("rendered"), "mask", "n_masked")
