@@ -119,7 +119,10 @@ class Template:
 
     def __init__(self, label: str, markup: str):
         nodes = _parse(markup)
-        lo = next(i for i in range(len(nodes)) if all(isinstance(x, str) for x in nodes[i : i + 3]) and len(nodes[i : i + 3]) == 3)
+        anchors = [i for i in range(len(nodes) - 2) if all(isinstance(x, str) for x in nodes[i : i + 3])]
+        if not anchors:
+            raise ValueError(f"a template needs three mandatory words in a row: {markup}")
+        lo = anchors[0]
         self.label = label
         self.anchor = int(grams(word_hashes(" ".join(nodes[lo : lo + 3])), 3)[0])
         self.head, self.tail = Automaton(nodes[:lo], backwards=True), Automaton(nodes[lo + 3 :])
@@ -145,6 +148,9 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
     only. Null and empty texts have no words and no labels. Scan only: no shuffle.
     """
     phrases, templates = PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates
+    for label, texts in templates.items():
+        for markup in texts:
+            Template(label, markup)  # faulty markup is told here, not by the workers
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         compiled = [Template(label, markup) for label, texts in templates.items() for markup in texts]
