@@ -55,8 +55,8 @@ def bench_windows(bench: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                 if len(doc):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), length, np.int32)), pa.array(signed(fp)), pa.array(signed(_window_hash(words, at, int(length)))), ids.take(pa.array(doc))], ["size", "fp", "wh", "item_id"])
 
-    items = bench.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
-    return map_arrow(items, run, "size int, fp long, wh long, item_id long").distinct()
+    items = bench.select("item_id", "text").where("item_id is not null")
+    return map_arrow(items, run, f"size int, fp long, wh long, item_id {items.schema['item_id'].dataType.simpleString()}").distinct()
 
 
 def _scan(docs: DataFrame, lengths: list[int], gram: int, bitmap: np.ndarray) -> DataFrame:
@@ -96,7 +96,7 @@ def _covered(spans: Column) -> Column:
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int = GRAM, num: int = NUM, den: int = DEN) -> DataFrame:
     """Benchmark passages in documents.
 
-    ``docs`` has doc_id (long) and text, ``bench`` item_id (long) and text; other columns are ignored. Returns one row
+    ``docs`` has doc_id (long) and text, ``bench`` item_id (of any type) and text; other columns are ignored. Returns one row
     per row of ``docs``: doc_id, n_words, n_hit, spans (array of start word and size, where item windows occur),
     item_ids (array, items with occurring windows), contaminated.
 
@@ -118,6 +118,6 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram:
     items = items.groupBy("uid").agg(F.collect_list("item_id").alias("item_ids"))
     none = F.array().cast("array<struct<start:int,size:int>>")
     out = scan.select("uid", "doc_id", "n_words").join(spans, "uid", "left").join(items, "uid", "left")
-    out = out.select("doc_id", "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"))
+    out = out.select("doc_id", "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("item_ids", F.array().cast(items.schema["item_ids"].dataType)).alias("item_ids"))
     out = out.withColumn("n_hit", _covered(F.col("spans")))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * den >= F.col("n_words") * num))
