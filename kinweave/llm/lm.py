@@ -29,8 +29,8 @@ from kinweave.llm._text import SPACED, U64, binary_parts, chunks, mix, signed, w
 
 #: Longest n-gram; counts above MOST are not discounted.
 ORDER, MOST = 3, 5
-#: Commonest words, which are broadcast with their counts (8 MB at most) and written as numbers.
-HEAD = 1 << 19
+#: Commonest words, which are broadcast with their counts (16 MB at most) and written as numbers.
+HEAD = 1 << 20
 #: Bytes of text of a chunk, tokens of a bucket, and tokens of a word that is dealt over several buckets.
 CHUNK, BUCKET, HEAVY = 8 << 20, 1 << 20, 1 << 21
 
@@ -87,7 +87,7 @@ class Words1:
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray, total: int, types: int, frequency: dict[int, int], most: int):
         order = np.argsort(codes)
-        self.sorted, self.rank = codes[order], order.astype(np.int64) + 1
+        self.sorted, self.rank = codes[order], order.astype(np.int32) + np.int32(1)
         self.codes = np.concatenate([np.array([_START], U64), codes])
         self.counts = np.concatenate([[0], counts]).astype(np.int64)
         self.total, self.types, self.discounts = total, types, discounts(frequency, most)
@@ -109,7 +109,7 @@ class Words1:
         one, which = np.unique(words, return_inverse=True)
         place = np.minimum(np.searchsorted(self.sorted, one), max(len(self.sorted) - 1, 0))
         known = self.sorted[place] == one if len(self.sorted) else np.zeros(len(one), bool)
-        out = np.empty(len(one), dtype=np.int64)
+        out = np.empty(len(one), dtype=np.int32)
         out[known] = self.rank[place[known]]
         out[~known] = self.size + np.arange((~known).sum())
         return out[which], one[~known]
@@ -182,8 +182,11 @@ class Grams:
         columns = [number]
         for back in range(1, order):
             before = np.zeros_like(number)
-            before[back:] = number[:-back] if back < len(number) else 0
-            columns.append(np.where(place >= back, before, 0))
+            if back < len(number):
+                before[back:] = number[:-back]
+            before[place < back] = 0
+            columns.append(before)
+        del every, inner, place
         columns = columns[::-1]  # w1 ... wm
         key = _fold([columns[-2], *columns[:-2], columns[-1]])
         by = np.argsort(key, kind="stable")
