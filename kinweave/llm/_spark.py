@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import time
@@ -62,12 +63,34 @@ def release(spark: SparkSession) -> None:
     time.sleep(0.3)
 
 
+#: Rows of an Arrow batch, where the session has Spark's default: texts are long, and a batch is held several times over.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def trim() -> None:
+    """Gives memory that a worker process no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """mapInArrow for a function of one batch."""
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from function(batch)
+        del batches
+        trim()
 
     return df.mapInArrow(run, schema)
 

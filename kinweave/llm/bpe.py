@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kinweave.llm._spark import map_arrow
+from kinweave.llm._spark import map_arrow, trim
 from kinweave.llm._text import binary_parts, chunks, prefix_sums, span_hash
 from kinweave.llm._unicode import SPACE, classes, per_process
 
@@ -67,6 +67,8 @@ class Codec:
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
         self.bytes = np.frombuffer(b"".join(t for _, t in by_id), dtype=np.uint8)
         self.classes = classes()
+        del merges, by_id
+        trim()  # the merges took much more than what is left
 
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of separate words, and where each word's begin."""

@@ -261,4 +261,4 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
         for lo, hi, words in word_chunks(batch["text"], ALNUM):
             yield batch.slice(lo, hi - lo).filter(pa.array(score(words) < 0.5))
 
-    return docs.mapInArrow(lambda batches: (out for batch in batches for out in run(batch)), docs.schema)
+    return map_arrow(docs, run, docs.schema)
