@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinweave.functions import lexicon as L
 from kinweave.functions.text import any_of, edit_distance, fix_homoglyphs, has_native, joined, lookup, nfkc, squash, text, to_ascii, words
 
+# Patterns of identifiers in names, and of a name that is a web address.
 _NOISE = [r"[\(\[]\s*(?:id|ref|no|#)\s*[:#.]?\s*\d+\s*[\)\]]", r"\b(?:id|ref)\s*[:#]\s*\d+", r"#\s*\d{2,}", r"-\s*\d{3}\s?\d{3}\b"]
 _DOMAIN = r"^(?:https?://)?(?:www\.)?([a-z0-9\-]+)((?:\.[a-z]{2,6}){1,2})/?$"
 
