@@ -22,7 +22,7 @@ U64 = np.uint64
 _M = U64((1 << 61) - 1)
 _B = 0x0F3C6EF372FE94F8 % ((1 << 61) - 1)
 #: Bytes of text worked on at once (a longer document is worked on alone): bounds a worker's memory.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -156,7 +156,8 @@ def _at_texts(keyed: DataFrame, places: DataFrame, columns: list[str], function,
         if held:
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*held, strict=True)], names)
 
-    return map_arrow(texts.join(lists, ["k1", "k2"]), batched, f"k1 long, k2 long, {schema}")
+    # Shuffled even where small: else a task would run two Python functions, in a process each.
+    return map_arrow(texts.join(lists.hint("merge"), ["k1", "k2"]), batched, f"k1 long, k2 long, {schema}")
 
 
 def _texts(keyed: DataFrame, bitmap: np.ndarray, inside: bool) -> DataFrame:
@@ -297,14 +298,24 @@ def repeated_passages(keyed: DataFrame, words: int = PASSAGE, window: int = PASS
     return found.withColumnRenamed("from", "lo")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES, carry: tuple[str, ...] = (), passages: bool = False, words: int = PASSAGE) -> DataFrame:
+def whole_characters(text: np.ndarray, cuts: list[dict]) -> bytes:
+    """What is left beside the cuts (lo, to; ascending); each piece loses the parts of characters at its ends, and no more."""
+    at, pieces = 0, []
+    for c in [*cuts, {"lo": len(text), "to": len(text)}]:
+        pieces.append(text[at : c["lo"]].tobytes().decode("utf-8", "ignore").encode())
+        at = c["to"]
+    return b"".join(pieces)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, batches: int = BATCHES, carry: tuple[str, ...] = (), passages: bool = False, words: int = PASSAGE, characters: bool = False) -> DataFrame:
     """Texts without the bytes of strings of ``length`` bytes that also start anywhere else.
 
     ``docs`` has doc_id (long) and text; other columns are ignored, whatever their names. All occurrences go, the first
     too; what repeats is judged on the input. Returns one row per row of ``docs``: doc_id, n_bytes, n_removed, spans
     (array of lo, to: maximal removed runs of bytes, ascending), kept (binary: a cut can split a character), repeats
     (whether the text has a string of ``length`` bytes or a run of ``words`` words that also starts elsewhere), rest (a
-    struct of ``carry``). With ``passages``, such runs of words are removed as well.
+    struct of ``carry``). With ``passages``, such runs of words are removed as well; with ``characters``, kept loses what
+    is left of a split character too.
 
     Null texts are empty; texts shorter than ``length`` lose nothing. Rows that repeat are copies of each other. Work per
     position is counted, never paired: names are pre-aggregated, so copies and common passages cost their own rows only.
@@ -339,10 +350,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
             keep = np.ones(len(text), dtype=bool)
             for x in own:
                 keep[x["lo"] : x["to"]] = False
-            rows.append((len(text), int((~keep).sum()), own, text[keep].tobytes(), found.is_valid))
+            kept = whole_characters(text, own) if characters and own else text[keep].tobytes()
+            rows.append((len(text), int((~keep).sum()), own, kept, found.is_valid))
         if rows:
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int32()), ("to", pa.int32())])), pa.binary(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)), batch["rest"]], columns)
 
-    touched = map_arrow(_texts(keyed, bitmap, True).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans", "rest"), run, whole.schema)
+    touched = map_arrow(_texts(keyed, bitmap, True).join(spans.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "spans", "rest"), run, whole.schema)
     return touched.unionByName(whole)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import filter_of, map_arrow, passes, slot
+from kinweave.llm._spark import drop_stored, filter_of, map_arrow, passes, slot, stored
 from kinweave.llm._text import ALNUM, U64, Words, lowered, mix, prefix_sums, signed, span_hash, word_chunks
 
 #: Labelled rows of either class that the model is fitted on, about (a hash picks them); half give the lexicon, half the weights.
@@ -209,7 +209,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
         yield batch.filter(pa.array(passes(bitmap, batch["place"].to_numpy()))).select(["doc_id", "text"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    texts = map_arrow(source.select("doc_id", "text", slot("doc_id").alias("place")), pick, "doc_id long, text string").join(chosen, "doc_id").persist()
+    texts = map_arrow(source.select("doc_id", "text", slot("doc_id").alias("place")), pick, "doc_id long, text string").join(chosen, "doc_id")
+    texts = stored(texts)  # a table: no task runs two Python functions, and a lost executor loses nothing
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
     try:
         learn = texts.where(half == 0)
@@ -226,7 +227,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
 
         rows_ = map_arrow(texts.where(half == 1).select("text", "toxic"), describe, "x array<double>, toxic int").toArrow()
     finally:
-        texts.unpersist()
+        drop_stored(texts)
     x = np.array(rows_["x"].to_pylist(), dtype=float).reshape(-1, KINDS + 2)
     y = rows_["toxic"].to_numpy().astype(float)
     if not 0 < y.sum() < len(y):
@@ -243,8 +244,12 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
+    made: list = []  # a task's own scorer
+
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        score = Model(**shared.value).scorer()
+        if not made:
+            made.append(Model(**shared.value).scorer())
+        score = made[0]
         for lo, hi, words in word_chunks(batch["text"], ALNUM):
             s = score(words)
             yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
@@ -256,8 +261,12 @@ def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` (text and any other columns, all returned) whose score is below 0.5. Scan only."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
+    made: list = []  # a task's own scorer
+
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        score = Model(**shared.value).scorer()
+        if not made:
+            made.append(Model(**shared.value).scorer())
+        score = made[0]
         for lo, hi, words in word_chunks(batch["text"], ALNUM):
             yield batch.slice(lo, hi - lo).filter(pa.array(score(words) < 0.5))
 
