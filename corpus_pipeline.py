@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +25,6 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
 
 
-def whole_characters(kept: pa.Array, spans: pa.Array) -> pa.Array:
-    """Texts of what is left beside the cut spans (lo, to); each piece loses the parts of characters at its ends, and no more."""
-    out = []
-    for raw, cuts in zip(kept, spans.to_pylist(), strict=True):
-        b, at, last, pieces = raw.as_py(), 0, 0, []
-        for c in sorted(cuts, key=lambda c: c["lo"]):
-            pieces.append(b[at : at + c["lo"] - last])
-            at, last = at + c["lo"] - last, c["to"]
-        out.append("".join(x.decode("utf-8", "ignore") for x in [*pieces, b[at:]]))
-    return pa.array(out, pa.string())
-
-
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts what starts in several places out of the texts: strings of 400 bytes, and passages of over 50 words.
 
@@ -46,10 +33,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Every document stays, if with an empty text; n_chars is that of the new text.
     """
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    made = remove_repeats(docs, carry=rest, passages=True)
-    whole = F.arrow_udf(whole_characters, "string")
-    text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(whole("kept", "spans"))
-    out = made.select("doc_id", text.alias("text"), *(F.col("rest")[c].alias(c) for c in rest))
+    made = remove_repeats(docs, carry=rest, passages=True, characters=True)
+    out = made.select("doc_id", F.col("kept").cast("string").alias("text"), *(F.col("rest")[c].alias(c) for c in rest))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(docs.columns)
