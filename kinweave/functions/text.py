@@ -90,9 +90,9 @@ def any_of(c: Column, values: list[str]) -> Column:
 
 
 def lookup(c: Column, table: dict[str, str]) -> Column:
-    """A word's entry in a fixed table, or null."""
-    entries = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
-    return F.try_element_at(entries, c)
+    """A word's entry in a fixed table, or null. A set of the words comes first: a map is searched entry by entry."""
+    entries = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in table.items())), F.lit("\n"), F.lit("\t"))  # one literal
+    return F.when(c.isin(*table), F.try_element_at(entries, c))
 
 
 def tri_state(a: Column, b: Column) -> Column:

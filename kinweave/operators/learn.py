@@ -40,7 +40,7 @@ def place_parts(records: DataFrame, part: Column) -> DataFrame:
     ``part`` normalizes one part; it is applied to each distinct part once.
     """
     country = F.coalesce(F.nullif(F.lower(F.trim("country")), F.lit("")), F.lit("unknown"))
-    raw = F.filter(F.transform(F.split("business_address", ","), F.trim), lambda p: p != "")
+    raw = F.filter(F.transform(F.split("business_address", ","), lambda p: F.trim(p)), lambda p: p != "")
     long = records.select(country.alias("country"), F.size(raw).alias("k"), F.posexplode(raw).alias("i", "raw")).where(~F.col("raw").rlike(r"\d"))
     grouped = long.groupBy("country", "raw").agg(F.count("*").alias("n"), F.sum((F.col("i") == F.col("k") - 1).cast("int")).alias("last"))
     named = grouped.withColumn("name", part).where((F.col("name") != "") & (F.size(words(F.col("name"))) <= 4))

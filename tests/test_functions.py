@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.functions import similarity as S
-from kinweave.functions.address import parse_address
+from kinweave.functions.address import normalize_addresses
 from kinweave.functions.names import basic_clean, normalize_names
 from kinweave.functions.segment import Segmenter
 from kinweave.functions.text import edit_distance, fix_homoglyphs, has_native, phonetic_squeeze, to_ascii
@@ -46,18 +46,32 @@ def test_names(spark):
     assert got[6] == ("ltd", "ltd", "", "ltd", 0)
 
 
-def test_address():
-    a = parse_address("tx 75001, 32nd avenue, 07 Main St, Unit 4", "US")
-    assert (a["state"], a["postcode"], a["house_num"], a["unit"]) == ("texas", "75001", "7", "4")
-    assert parse_address("32nd avenue, 8th street", "US")["house_num"] == ""
-    f = parse_address("12 rue de la Paix, 33000 Bordeaux", "France")
-    assert (f["postcode"], f["house_num"], f["locality"]) == ("33000", "12", "bordeaux")
-    assert parse_address("Tirunelveli-627 002", "India")["postcode"] == "627002"
-    assert parse_address("FL, 1 Fourteenth Ave", "US")["state"] == "florida"
-    assert "14th" in parse_address("1 Fourteenth Ave", "US")["street"]
-    assert parse_address("c/o Ann Lee, 5 Oak Rd near Town Hall", "US")["landmark"] == "c o ann lee | near town hall"
-    assert parse_address(None, None)["addr_missing"] == parse_address("N/A", "US")["addr_missing"] == 1
-    assert parse_address("po box 12, 2nd floor, rez de chaussee", "US")["unit"] == "box12 fl2 flgro"
+def test_address(spark):
+    rows = [
+        ("tx 75001, 32nd avenue, 07 Main St, Unit 4", "US"), ("32nd avenue, 8th street", "US"), ("12 rue de la Paix, 33000 Bordeaux", "France"),
+        ("Tirunelveli-627 002", "India"), ("FL, 1 Fourteenth Ave", "US"), ("c/o Ann Lee, 5 Oak Rd near Town Hall", "US"), (None, None), ("N/A", "US"),
+        ("po box 12, 2nd floor, rez de chaussee", "US"), ("5 Oak Rd c/o Ann Lee, 75001, 9", "US"), ("3 ste anne, apt 2", "France"), ("9 Oak St, Pune, Goa, Pune", "Nowhere"),
+        (" ,, ", ""), ("दिल्ली, 4 Main Rd", "India"),
+    ]
+    gazetteer = {"nowhere": {"cities": {"goa": 9, "pune": 30}, "states": []}, "france": {"cities": {"bordeaux": 7}}}
+    source = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, business_address string, country string")
+    a = [r.asDict() for r in normalize_addresses(source).orderBy("i").collect()]
+    assert (a[0]["state"], a[0]["postcode"], a[0]["house_num"], a[0]["unit"]) == ("texas", "75001", "7", "4")
+    assert (a[0]["all_nums"], a[0]["street"]) == ("7", "32nd avenue main street")
+    assert a[1]["house_num"] == ""
+    assert (a[2]["postcode"], a[2]["house_num"], a[2]["locality"]) == ("33000", "12", "bordeaux")
+    assert a[3]["postcode"] == "627002"
+    assert a[4]["state"] == "florida" and "14th" in a[4]["street"]
+    assert a[5]["landmark"] == "c o ann lee | near town hall"
+    for i in (6, 7):
+        assert a[i]["addr_missing"] == 1 and {v for k, v in a[i].items() if k not in ("i", "business_address", "country", "addr_missing")} == {"", 0}
+    assert a[8]["unit"] == "box12 fl2 flgro"
+    assert (a[9]["landmark"], a[9]["street"], a[9]["postcode"], a[9]["all_nums"]) == ("c o ann lee", "oak road", "75001", "5 9")
+    assert (a[10]["unit"], a[10]["street"]) == ("2", "sainte anne")
+    assert (a[12]["addr_missing"], a[12]["addr_clean"], a[13]["addr_translit"], a[13]["street"]) == (0, "", 1, "main road")
+    b = [r.asDict() for r in normalize_addresses(source, gazetteer).orderBy("i").collect()]
+    assert (b[11]["city"], b[11]["locality"], b[11]["addr_clean"]) == ("pune", "goa", "9 oak street goa pune")
+    assert (b[2]["city"], b[2]["locality"]) == ("bordeaux", "")
 
 
 def test_segmenter():
