@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.llm._spark import cut, filter_of, map_arrow, passes, release, slot, stored
@@ -90,7 +90,7 @@ def _scan(docs: DataFrame, size: int, bins: int, rows: int) -> DataFrame:
 
 
 def _set_table(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(doc_id, hashes) of the documents in ``wanted`` (doc_id, set_key); a fixed-size filter spares the others' shuffle."""
+    """(doc_id, hashes), a row a set, of the documents in ``wanted`` (doc_id, set_key); a fixed-size filter spares the others' shuffle."""
     bitmap = filter_of(wanted, slot("doc_id"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -103,7 +103,7 @@ def _set_table(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(names, pa.binary()), pa.array(hashes, pa.binary())], ["doc_id", "set_key", "hashes"])
 
     found = map_arrow(docs.select("doc_id", "text", slot("doc_id").alias("place")), run, "doc_id long, set_key binary, hashes binary")
-    return found.join(wanted, ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "hashes")
+    return found.join(wanted, ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id", "set_key"]).select("doc_id", "hashes")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -159,34 +159,41 @@ def _can_link(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     """
     shingles = _shingles(members.select("doc_id", "comp", F.lit(0).cast("long").alias("area")).distinct(), sets)
     across = shingles.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
-    shared = shingles.join(across, "h", "left_semi").groupBy("doc_id").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    shared = shingles.join(across, "h", "left_semi").groupBy("doc_id").agg(F.count("*").alias("c"), F.min("n").alias("n"))
     return shared.where(F.col("c") * den >= F.col("n") * num).select("doc_id")
 
 
 def _across(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of ``members`` that hold every link between components, and few others.
+    """Pairs (a, b) of ``members`` that hold every link between components, and few others: prefix filtering by area.
 
-    Buckets that share members form areas. Let P be the shingles of at least half of an area's documents. Two sets share
-    at most min(|A & P|, |B & P|) shingles of P; if that is too few for a link, they must share one outside P. So the
-    pairs are those with enough of P on both sides, and those that meet in a shingle outside P, which is never the
-    area's common text.
+    Buckets that share members form areas. A document's c shingles that also occur in other components are ranked by how
+    many documents of the area have them, rarest first. A link needs num/den of either set in common, so of each set the
+    first c - ceil(n * num / den) + 1 are enough: linked documents meet in one of these. At their first meeting, at ranks
+    i and j, they can have no more than 1 + min(cx - i, cy - j) in common; pairs for which that is too few go.
     """
     hubs = members.groupBy("bucket").agg(F.min("doc_id").alias("a"))
     areas = connected_components(members.join(hubs, "bucket").select("a", F.col("doc_id").alias("b")))
     docs = cut(members.select("doc_id", "comp").distinct().join(areas.select(F.col("node").alias("doc_id"), F.col("component").alias("area")), "doc_id"))
     shingles = stored(_shingles(docs, sets))
-    sizes = docs.groupBy("area").agg(F.count("*").alias("docs"))
     uses = shingles.groupBy("area", "h").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    uses = cut(uses.where("lo <> hi").join(sizes, "area").select("area", "h", (F.col("df") * 2 >= F.col("docs")).alias("common")))
-    known = stored(shingles.join(uses, ["area", "h"]))
-    common = known.where("common").groupBy("doc_id", "comp", "area", "n").agg(F.count("*").alias("c")).where(F.col("c") * den >= F.col("n") * num)
-    x, y = (known.where("not common").select(*(F.col(c).alias(c + s) for c in ("area", "h", "doc_id", "comp", "n"))) for s in "xy")
+    known = shingles.join(uses.where("lo <> hi").select("area", "h", "df"), ["area", "h"])
+    own = Window.partitionBy("area", "doc_id", "n")
+    ranked = known.withColumn("i", F.row_number().over(own.orderBy("df", "h"))).withColumn("c", F.count("*").over(own))
+    need = F.floor((F.col("n") * num + (den - 1)) / den)
+    prefix = stored(ranked.where(F.col("i") <= F.col("c") - need + 1).select("area", "h", "doc_id", "comp", "n", "i", "c"))
+    x, y = (prefix.select(*(F.col(c).alias(c + s) for c in prefix.columns)) for s in "xy")
     fits = (F.col("doc_idx") < F.col("doc_idy")) & (F.col("compx") != F.col("compy")) & (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num)
-    rare = x.join(y, (x["areax"] == y["areay"]) & (x["hx"] == y["hy"]) & fits).select("doc_idx", "doc_idy")
-    x, y = (common.select(*(F.col(c).alias(c + s) for c in ("area", "doc_id", "comp", "n", "c"))) for s in "xy")
-    enough = F.least("cx", "cy") * (num + den) >= (F.col("nx") + F.col("ny")) * num
-    near = x.join(y, (x["areax"] == y["areay"]) & fits & enough).select("doc_idx", "doc_idy")
-    return rare.unionByName(near).distinct().select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b"))
+    enough = (1 + F.least(F.col("cx") - F.col("ix"), F.col("cy") - F.col("iy"))) * (num + den) >= (F.col("nx") + F.col("ny")) * num
+    met = x.join(y, (x["areax"] == y["areay"]) & (x["hx"] == y["hy"]) & fits & enough)
+    return met.select(F.col("doc_idx").alias("a"), F.col("doc_idy").alias("b")).distinct()
+
+
+def _same_ids(scan: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) of classes that hold rows of one doc_id with different texts."""
+    rows = scan.where("n > 0 and doc_id is not null").select("doc_id", "set_key")
+    several = rows.groupBy("doc_id").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi")).where("lo <> hi").select("doc_id")
+    held = rows.join(several, "doc_id", "left_semi").distinct().join(classes.select("set_key", F.col("doc_id").alias("a")), "set_key")
+    return held.select("a", F.col("doc_id").alias("b")).where("a <> b").distinct()
 
 
 def _placed(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -216,8 +223,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
       rest the pairs that can still link are compared (see ``_across``).
 
     Null or empty texts have no set and are linked with nothing. Rows with a null doc_id are not linked: their
-    component is null and they are kept. Rows that share a doc_id count as one document and all get its component.
-    An empty table gives an empty result.
+    component is null and they are kept. Rows of one doc_id are one document, with the links of all its texts and one
+    component; only a row of it without words stays by itself. An empty table gives an empty result.
     """
     scan = stored(_scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle, bins, rows))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -240,7 +247,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     rest = _across(left, sets, num, den).join(star, ["a", "b"], "left_anti")
     more = cut(_verified(rest, sets, num, den))
     release(docs.sparkSession)
-    groups = _joined(groups, more)
+    groups = _joined(groups, cut(more.unionByName(_same_ids(scan, classes))))
 
     named = (
         classes.select("set_key", "doc_id")
