@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm._spark import drop_stored, map_arrow, release, stored
+from kinweave.llm._spark import drop_stored, map_arrow, release, stored, trim
 from kinweave.llm._text import SPACED, U64, binary_parts, chunks, mix, signed, word_chunks
 
 #: Longest n-gram; counts above MOST are not discounted.
@@ -39,13 +39,17 @@ _START, _END = (int(mix(np.array([x], U64), 60)[0]) for x in (1, 2))
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed bytes: whole numbers in the fewest bytes that hold them, bytes of like weight together."""
-    head, parts = [], []
+    small = []
     for x in arrays:
         if x.dtype.kind in "iu" and len(x) and int(x.min()) >= 0:
             x = x.astype(np.min_scalar_type(int(x.max())))
-        head.append([x.dtype.str, len(x)])
-        parts.append(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(json.dumps(head).encode() + b"\0" + b"".join(parts))
+        small.append(np.ascontiguousarray(x))
+    head = json.dumps([[x.dtype.str, len(x)] for x in small]).encode() + b"\0"
+    to = zstandard.ZstdCompressor(level=1).compressobj(size=len(head) + sum(x.nbytes for x in small))
+    out = [to.compress(head)]
+    for x in small:  # one array after the other, so that their bytes are never held together
+        out.append(to.compress(x.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()))
+    return b"".join([*out, to.flush()])
 
 
 def unpack(raw: bytes) -> list[np.ndarray]:
@@ -273,7 +277,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[objec
     """Runs of rows with equal ``by``, from sorted batches."""
     now, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            row = {c: batch[c][i].as_py() for c in batch.schema.names}
             if held and row[by] != now:
                 yield now, held
                 held = []
@@ -301,6 +306,8 @@ def _merged(sent: DataFrame, order: int, most: int, known, heavy: list[int]) ->
                 out = [_merge(bucket, rows, order, most, known.value, split)]
             for r in out:
                 yield pa.RecordBatch.from_pylist([r], schema=kind)
+            del out, r, rows
+            trim()
 
     long = pa.list_(pa.int64())
     kind = pa.schema([("bucket", pa.int32()), ("chunk", pa.binary()), ("blob", pa.binary()), *((c, long) for c in ("seen", "heavy", "last", "times", "ones"))])
@@ -443,6 +450,8 @@ def _sums(model: DataFrame, order: int, known, by: dict[int, list[float]]) -> Da
             if size > 48 << 20:
                 yield from out(held)
                 held, size = {}, 0
+            del own, rest, columns, places, score, add, seen, c1, code
+            trim()
         yield from out(held)
 
     def out(held: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
