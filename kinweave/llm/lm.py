@@ -29,8 +29,8 @@ from kinweave.llm._text import SPACED, U64, binary_parts, chunks, mix, signed, w
 
 #: Longest n-gram; counts above MOST are not discounted.
 ORDER, MOST = 3, 5
-#: Commonest words, which are broadcast with their counts (16 MB at most) and written as numbers.
-HEAD = 1 << 20
+#: Commonest words, which are broadcast with their counts (8 MB at most) and written as numbers.
+HEAD = 1 << 19
 #: Bytes of text of a chunk, tokens of a bucket, and tokens of a word that is dealt over several buckets.
 CHUNK, BUCKET, HEAVY = 8 << 20, 1 << 20, 1 << 21
 
