@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions import lexicon as L
-from kinweave.functions.text import any_of, edit_distance, fix_homoglyphs, has_native, joined, lookup, nfkc, squash, text, to_ascii, words
+from kinweave.functions.text import any_of, bound, edit_distance, fix_homoglyphs, has_native, joined, lookup, nfkc, squash, text, to_ascii, words
 
 # Patterns of identifiers in names, and of a name that is a web address.
 _NOISE = [r"[\(\[]\s*(?:id|ref|no|#)\s*[:#.]?\s*\d+\s*[\)\]]", r"\b(?:id|ref)\s*[:#]\s*\d+", r"#\s*\d{2,}", r"-\s*\d{3}\s?\d{3}\b"]
@@ -46,15 +46,15 @@ def repair_legal(w: Column) -> Column:
     n = F.size(w)
 
     def one(x: Column, i: Column) -> Column:
-        out = x
         follows = F.coalesce(F.get(w, i + 1), F.lit(""))
-        near = (i >= F.greatest(F.lit(1), n - 3)) & ~any_of(x, list(L.LEGAL_FORMS)) & (F.length(x) >= 4)
+        near = (i >= F.greatest(F.lit(1), n - 3)) & (F.length(x) >= 4) & x.rlike(f"^[{''.join(L.FUZZY_LEGAL)}]") & ~any_of(x, list(L.LEGAL_FORMS))
+        out = x
         for letter, (word, tag) in L.FUZZY_LEGAL.items():
             close = edit_distance(x, F.lit(word), 3) <= (2 if len(word) <= 7 else 3)
             if letter == "p":
-                close = close | (any_of(follows, ["ltd", "limited", "ltda"]) & F.length(x).between(4, 10))
-            out = F.when(near & x.startswith(letter) & close, F.lit(tag)).otherwise(out)
-        return out
+                close = (any_of(follows, ["ltd", "limited", "ltda"]) & F.length(x).between(4, 10)) | close
+            out = F.when(x.startswith(letter) & close, F.lit(tag)).otherwise(out)
+        return F.when(near, out).otherwise(x)
 
     return F.transform(w, one)
 
@@ -64,13 +64,12 @@ def name_words(c: Column, native: Column | None = None) -> Column:
     w = F.transform(words(collapse_legal_phrases(basic_clean(c))), fix_homoglyphs)
     if native is not None:
         w = F.when(native, F.transform(w, lambda x: F.coalesce(lookup(x, L.TRANSLIT_LEGAL), x))).otherwise(w)
-    return repair_legal(collapse_repeats(words(strip_honorifics(joined(w)))))
+    return bound(bound(words(strip_honorifics(joined(w))), collapse_repeats), repair_legal)
 
 
 def core_words(w: Column) -> Column:
     """Words that are no legal form; all of them if none is left."""
-    core = F.filter(w, lambda x: ~any_of(x, list(L.LEGAL_FORMS)))
-    return F.when(F.size(core) == 0, w).otherwise(core)
+    return bound(F.filter(w, lambda x: ~any_of(x, list(L.LEGAL_FORMS))), lambda core: F.when(F.size(core) == 0, w).otherwise(core))
 
 
 def legal_tags(w: Column) -> Column:
@@ -80,7 +79,7 @@ def legal_tags(w: Column) -> Column:
 def key_words(core: Column) -> Column:
     """Sorted distinct core words without generic ones; all of them if none is left."""
     key = F.array_sort(F.array_distinct(F.filter(core, lambda x: ~any_of(x, L.GENERIC_WORDS))))
-    return F.when(F.size(key) == 0, F.array_sort(F.array_distinct(core))).otherwise(key)
+    return bound(key, lambda k: F.when(F.size(k) == 0, F.array_sort(F.array_distinct(core))).otherwise(k))
 
 
 def alias_pieces(c: Column) -> Column:
