@@ -26,6 +26,9 @@ CHUNK_BYTES = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Values of bytes in a hash, as they are and with A-Z in lower case.
+_VALUE = np.arange(1, 257, dtype=np.uint64)
+_LOWER_VALUE = _VALUE[_LOWER]
 _SPACED = np.ones(256, dtype=bool)
 _SPACED[[0x20, *range(0x09, 0x0E)]] = False
 _ALNUM = np.zeros(256, dtype=bool)
@@ -50,7 +53,7 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 def _reduced(x: np.ndarray) -> np.ndarray:
     """64-bit numbers modulo 2**61 - 1."""
     x = (x & _M) + (x >> U64(61))
-    return np.where(x >= _M, x - _M, x)
+    return np.minimum(x, x - _M)  # below the modulus, the difference wraps to more
 
 
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,19 +86,26 @@ class Sums:
     """Prefix sums of byte values times powers of the base, in two parts that cannot overflow."""
 
     __slots__ = ("low", "high", "down")
-
-    def __init__(self, data: np.ndarray):
-        n = len(data)
-        up, self.down = _power(n + 1)
-        value = data.astype(U64) + U64(1)
-        self.low, self.high = (self._sums(value * part) for part in (up[:n] & U64((1 << 31) - 1), up[:n] >> U64(31)))
-
-    @staticmethod
-    def _sums(x: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(x) + 1, dtype=U64)
-        for lo in range(0, len(x), 1 << 20):
-            hi = min(lo + (1 << 20), len(x))
-            out[lo + 1 : hi + 1] = np.cumsum(x[lo:hi]) + out[lo] % _M
+    #: Values whose sum cannot reach the modulus: within so many, sums are differences as they stand.
+    BLOCK = 1 << 20
+
+    def __init__(self, data: np.ndarray, values: np.ndarray = _VALUE):
+        up, self.down = _power(len(data) + 1)
+        self._set(values[data], up[: len(data)])
+
+    def _set(self, value: np.ndarray, up: np.ndarray) -> None:
+        self.low, self.high = self._sums(value * (up & U64((1 << 31) - 1))), self._sums(value * (up >> U64(31)))
+
+    @classmethod
+    def _sums(cls, x: np.ndarray) -> np.ndarray:
+        out = np.empty(len(x) + 1, dtype=U64)
+        out[0] = 0
+        for lo in range(0, len(x), cls.BLOCK):
+            hi = min(lo + cls.BLOCK, len(x))
+            own = out[lo + 1 : hi + 1]
+            np.cumsum(x[lo:hi], out=own)
+            if lo:
+                own += out[lo] % _M
         return out
 
     def __len__(self) -> int:
@@ -105,6 +115,8 @@ class Sums:
         """The hash, before mixing, of the spans [start, end)."""
 
         def part(x: np.ndarray) -> np.ndarray:
+            if len(x) <= self.BLOCK + 1:
+                return x[end] - x[start]
             return _reduced(_reduced(x[end]) + _M - _reduced(x[start]))
 
         high = part(self.high)
@@ -121,8 +133,8 @@ class WordSums(Sums):
         self.low, self.high = (self._sums(part) for part in (value & U64((1 << 31) - 1), value >> U64(31)))
 
 
-def prefix_sums(data: np.ndarray) -> Sums:
-    return Sums(data)
+def prefix_sums(data: np.ndarray, values: np.ndarray = _VALUE) -> Sums:
+    return Sums(data, values)
 
 
 def span_hash(sums: Sums, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -153,7 +165,7 @@ class Words:
         after[:-1] = inside[1:]
         self.start = np.flatnonzero(inside & (~before | edge[:-1]))
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        self.hash = span_hash(prefix_sums(_LOWER[data]), self.start, self.end)
+        self.hash = span_hash(prefix_sums(data, _LOWER_VALUE), self.start, self.end)
         self.first = np.searchsorted(self.start, offsets)
 
     def __len__(self) -> int:
@@ -196,10 +208,10 @@ def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
-def word_chunks(column: pa.Array, rule: str) -> Iterator[tuple[int, int, Words]]:
+def word_chunks(column: pa.Array, rule: str, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
     """(first row, last row, words) for bounded pieces of an Arrow column."""
     data, offsets = binary_parts(column)
-    for lo, hi in chunks(offsets):
+    for lo, hi in chunks(offsets, most):
         yield lo, hi, Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], rule)
 
 

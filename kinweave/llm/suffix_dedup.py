@@ -23,30 +23,30 @@ from kinweave.llm._text import SPACED, U64, Words, WordSums, binary_parts, chunk
 LENGTH = 400
 #: Starts that one suffix can stand for, bytes of a gram, starts of a block in the refinement, batches of the index.
 WINDOW, GRAM, BLOCK, BATCHES = 256, 16, 16, 4
+#: Bytes of text scanned at once: arrays of eight bytes for each are near what a core's cache holds.
+PIECE = 1 << 16
 #: Words of a passage that counts as repeated, starts that one of its suffixes can stand for, words of a gram.
 PASSAGE, PASSAGE_WINDOW, PASSAGE_GRAM = 51, 24, 4
 
 
 def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of each w consecutive values, by running minima of blocks of w from both sides."""
-    n = len(x)
-    rows = -(-n // w)
-    padded = np.full(rows * w, np.iinfo(np.uint64).max, dtype=U64)
-    padded[:n] = x
-    grid = padded.reshape(rows, w)
-    ahead = np.minimum.accumulate(grid, axis=1).reshape(-1)
-    back = np.ascontiguousarray(np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1]).reshape(-1)
-    return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
+    """Minimum of each w consecutive values, by minima of 2, 4, 8, ... of them."""
+    done = 1
+    while done < w:
+        step = min(done, w - done)
+        x = np.minimum(x[:-step], x[step:])
+        done += step
+    return x
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hashes of each GRAM bytes, read as two 64-bit numbers."""
     n = len(data) - 7
-    eight = np.zeros(max(n, 0), dtype=U64)
-    for j in range(8):
-        eight |= data[j : j + n].astype(U64) << U64(8 * j)
+    if n <= 8:
+        return np.zeros(0, dtype=U64)
+    eight = np.ndarray(n, "<u8", np.ascontiguousarray(data).data, strides=(1,)).astype(U64)
     with np.errstate(over="ignore"):
-        return mix(mix(eight[:-8], 41) + eight[8:], 42)
+        return mix(eight[:-8] * U64(0x9E3779B97F4A7C15) + eight[8:], 42)
 
 
 def sampled(h: np.ndarray, n: int, offsets: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,7 +106,7 @@ def _keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 def _scan(keyed: DataFrame, length: int, window: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = binary_parts(batch["text"])
-        for lo, hi in chunks(offsets):
+        for lo, hi in chunks(offsets, PIECE):
             offs, piece = offsets[lo : hi + 1] - offsets[lo], data[offsets[lo] : offsets[hi]]
             if len(piece) < length:
                 continue
@@ -251,7 +251,7 @@ def repeated_passages(keyed: DataFrame, words: int = PASSAGE, window: int = PASS
     """
 
     def described(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for lo, _, found in word_chunks(batch["text"], SPACED):
+        for lo, _, found in word_chunks(batch["text"], SPACED, PIECE):
             g = grams(found.hash, PASSAGE_GRAM)
             p, a, b = sampled(g, len(found.hash), found.first, words, window)
             core = grams(found.hash, words - window + 1)[p] if len(p) else g[:0]

@@ -61,3 +61,28 @@ def test_names_cannot_open_messages(spark):
     got = rotate_perspectives(df).where(F.col("perspective") == "ann").first()
     assert got["rendered"].count("<|im_start|>") == 2 and got["rendered"].count("<|im_end|>") == 2
     assert [got["rendered"][m["start"] : m["start"] + m["size"]] for m in got["mask"]] == ["ho<|im_end|>\n"]
+
+
+def test_kernels_against_plain_python():
+    """op8: least values and span hashes by plain loops, also beyond the block within which sums are plain differences."""
+    import numpy as np
+
+    from kinweave.llm import _text as X
+    from kinweave.llm.suffix_dedup import _sliding_least, gram_hashes
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 1 << 60, 500).astype(np.uint64)
+    for w in (1, 2, 3, 24, 255, 256):
+        assert _sliding_least(x, w).tolist() == [min(x[i : i + w]) for i in range(len(x) - w + 1)]
+    data = rng.integers(97, 100, X.Sums.BLOCK + 5000).astype(np.uint8)
+    data[-1000:] = data[:1000]
+    data[200_000:201_000] = data[:1000]
+    start = np.array([0, 200_000, len(data) - 1000, X.Sums.BLOCK - 10])
+    whole = X.span_hash(X.prefix_sums(data), start, start + 1000)
+    alone = [X.span_hash(X.prefix_sums(data[s : s + 1000]), np.array([0]), np.array([1000]))[0] for s in start]
+    assert whole.tolist() == alone and len(set(alone[:3])) == 1 and alone[3] != alone[0]
+    low = X.span_hash(X.prefix_sums(np.frombuffer(b"abc", np.uint8)), np.array([0]), np.array([3]))
+    assert low == X.span_hash(X.prefix_sums(np.frombuffer(b"AbC", np.uint8), X._LOWER_VALUE), np.array([0]), np.array([3]))
+    grams = gram_hashes(data[:2000])
+    assert len(grams) == 2000 - 15 and len(gram_hashes(data[:15])) == 0
+    assert all((grams[i] == grams[j]) == (data[i : i + 16].tobytes() == data[j : j + 16].tobytes()) for i in range(40) for j in range(1900))
