@@ -340,16 +340,23 @@ def _merge(bucket: int, rows: list[dict], order: int, most: int, known: Words1,
         train = np.unpackbits(flags, count=int(n[0]))[doc].astype(np.int64)
         counts.append(np.add.reduceat(train, np.cumsum(times.astype(np.int64)) - times) if len(times) else times.astype(np.int64))
         ends.append(ends[-1] + len(times))
-    columns = [np.concatenate(c) for c in columns]
+        arrays[:order] = [None] * order  # what a bucket no longer needs goes at once: a task's memory is bounded
+        del train
+    for i in range(order):
+        columns[i] = np.concatenate(columns[i])
     key = _fold([columns[-2], *columns[:-2], columns[-1]])
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
     del key
-    columns = [c[first] for c in columns]
+    which = which.astype(np.int32)
+    for i in range(order):
+        columns[i] = columns[i][first]
     count = np.bincount(which, weights=np.concatenate(counts), minlength=len(first)).astype(np.int64)
+    del counts, first
     places = []
     for i, (name, arrays) in enumerate(zip(names, parts, strict=True)):
         times, doc, _, n = arrays[order:]
-        places += [np.frombuffer(name, np.uint8), n, np.diff(which[ends[i] : ends[i + 1]], prepend=0), times, doc]
+        places += [np.frombuffer(name, np.uint8), n, np.diff(which[ends[i] : ends[i + 1]], prepend=np.int32(0)), times, doc]
+    del which, parts
     ones = np.zeros(len(every), dtype=np.int64)  # training counts of the rare words
     if len(told["words"]):
         at = np.searchsorted(every, told["words"])
@@ -359,8 +366,13 @@ def _merge(bucket: int, rows: list[dict], order: int, most: int, known: Words1,
     out: dict = {"heavy": [], "last": [], "times": [], "ones": []}
     for k in range(2, order + 1):
         own = ~dealt if k == 2 else np.ones(len(count), bool)
-        gram, _ = _gram_key([c[own] for c in columns], k)
-        total = np.bincount(np.unique(gram, return_inverse=True)[1], weights=count[own]) if own.any() else np.zeros(0)
+        total = count[own]
+        if k < order and len(total):  # those of the whole order are distinct as they are
+            gram, _ = _gram_key([c[own] for c in columns[-k:]], k)
+            by = np.argsort(gram, kind="stable")
+            gram = gram[by]
+            total = np.add.reduceat(total[by], np.flatnonzero(np.append(True, gram[1:] != gram[:-1])))
+            del gram, by
         seen[k - 2] = [(total == r).sum() for r in range(1, most + 2)]
     if dealt.any():
         gram, _ = _gram_key([c[dealt] for c in columns], 2)
@@ -405,6 +417,7 @@ def evaluate(columns: list[np.ndarray], count: np.ndarray, one: np.ndarray, by:
         alpha = np.where(total > 0, np.maximum(1 - kept / base, 1e-12) / np.maximum(1 - lower, 1e-12), 1.0)
         p = np.where(c > 0, s / base[of], alpha[of] * q[first])
         q = p[which]
+        del gram, history, first, which, owner, c, of, s, total, kept, lower, base, alpha, p  # else they stay through the next order
     return np.log10(q)
 
 
@@ -425,10 +438,11 @@ def _sums(model: DataFrame, order: int, known, by: dict[int, list[float]]) -> Da
             if own is None:
                 continue
             rare, ones, *rest = own
-            columns, count, places = [x.astype(np.int64) for x in rest[:order]], rest[order].astype(np.int64), rest[order + 1 :]
-            columns[-2] = np.cumsum(columns[-2])
+            columns, count, places = [x.astype(np.int32) for x in rest[:order]], rest[order].astype(np.int64), rest[order + 1 :]
+            columns[-2] = np.cumsum(columns[-2], dtype=np.int32)
+            rest = own = None
             c1 = np.append(known.value.counts, ones)[columns[-1]].astype(np.int64)
-            code = np.append(known.value.codes, rare.astype(U64))[columns[-1]]
+            code = np.append(known.value.codes, rare.astype(U64))[columns[-1]] if pieces else np.zeros(0, U64)
             dealt = {}
             if pieces:
                 b, word, times, one = (np.concatenate(x) for x in zip(*pieces, strict=True))

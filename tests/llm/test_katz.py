@@ -113,3 +113,26 @@ def test_katz_of_nothing(spark):
 
 def test_discounts():
     assert all(0 < d < 1 for d in lm.discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 5})) and all(0 < d < 1 for d in lm.discounts({}))
+
+
+def test_a_bucket_lets_go_of_what_it_no_longer_needs():
+    """op2: a bucket of 1.2 million tokens is merged in under 90 MB of arrays (104 MB before they were freed early, 76 MB after)."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    codes, counts = lm.mix(np.arange(200_000).astype(np.uint64), 5), np.full(200_000, 9)
+    known = lm.Words1(codes[:100_000], counts[:100_000], int(counts.sum()), len(codes), {1: 5000, 2: 2000, 3: 1000, 4: 700, 5: 500, 6: 400}, 5)
+    rows = []
+    for c in range(6):
+        words, sizes = codes[np.minimum(rng.zipf(1.3, 200_000) - 1, len(codes) - 1)], np.full(400, 500)
+        for _, rare, arrays in lm.Grams(words, sizes, 3, known, 1).by_bucket(known):
+            arrays[-4] = np.diff(arrays[-4], prepend=0)
+            rows.append({"chunk": b"%016d" % c, "blob": lm.pack(rare, *arrays, np.packbits(np.ones(400, bool)), np.array([400])), "words": None, "counts": None})
+    del words, arrays, rare
+    tracemalloc.start()
+    out = lm._merge(0, rows, 3, 5, known, np.zeros(0, np.int64))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert out["blob"] and peak < 90
