@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.llm.ann import nearest_neighbours
+from kinweave.llm.ann import SHARES, Graph, cheapest, nearest_neighbours, neighbour_lists
 from kinweave.llm.chat import rotate_perspectives
 
 DATA = "/root/testdata/sf0.001"
@@ -53,6 +53,66 @@ def test_nearest_neighbours_beam_grows(spark):
     assert len(got) == 60 and hit >= 0.95 * 300
 
 
+def test_nearest_neighbours_takes_few_jobs(spark):
+    """Graphs are built and searched in tasks: no jobs for each round or step, whose shuffles held a vector for each edge."""
+    x = np.random.default_rng(6).normal(size=(3000, 16))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    spark.sparkContext.setJobGroup("few jobs", "")
+    assert nearest_neighbours(df, "vec_id", "embedding", F.col("id") % 50 == 0).count() == 300
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few jobs")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) < 60
+
+
+def test_nearest_neighbours_in_clusters(spark):
+    """A tight cluster, and equal vectors beyond what an answer holds: ties go to the smaller id."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(1000, 32)), rng.normal(size=32) + 1e-3 * rng.normal(size=(1000, 32))])
+    x = np.concatenate([x, np.tile(x[5], (200, 1))]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got: dict = {}
+    for r in nearest_neighbours(df, "vec_id", "embedding", F.col("id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["id"], r["score"]))
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 2200, 50):
+        c = u @ u[q]
+        c[q] = -2
+        mine = [i for _, i, _ in sorted(got[q])]
+        assert all(s == pytest.approx(c[i], abs=1e-12) for _, i, s in got[q])
+        hit += sum(c[i] >= np.sort(c)[-5] - 1e-12 for i in mine)
+        if q >= 2000:
+            assert mine == ([5, 2000, 2001, 2002, 2003] if q > 2003 else [5, 2001, 2002, 2003, 2004])
+    assert len(got) == 44 and hit >= 0.9 * 220
+
+
+def test_neighbour_graph_and_search():
+    """Rounds better the first lists; going along the lists betters what the nearest cells hold; all cells are exact."""
+    x = np.random.default_rng(3).normal(size=(6000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    true = []
+    for v in range(0, 6000, 20):
+        c = x @ x[v]
+        c[v] = -2
+        true.append(set(np.argsort(-c)[:6].tolist()))
+
+    def recall(lists):
+        return np.mean([len(t & set(lists[i].tolist())) / 6 for i, t in enumerate(true)])
+
+    lists = neighbour_lists(x.astype(np.float32))
+    assert recall(lists[::20]) > recall(neighbour_lists(x.astype(np.float32), 0)[::20]) + 0.05
+    assert (lists != np.arange(6000)[:, None]).all() and all(len(set(r)) == lists.shape[1] for r in lists.tolist())
+    y, along, alone = x[::20], Graph(x, lists), Graph(x, lists[:, :0])
+    assert recall(along.search(y, 0.2)) > recall(alone.search(y, 0.2)) + 0.05
+    assert recall(along.search(y, 1.0)) == 1
+
+
+def test_search_is_as_broad_as_measured():
+    hits = {(0.1, 1): 50, (0.1, 2): 30, (0.4, 1): 80, (0.4, 2): 15}
+    assert cheapest(hits, 100, 3, 0.75) == (0.4, 1) and cheapest(hits, 100, 3, 0.9) == (0.4, 2)
+    assert cheapest(hits, 100, 3, 0.99) == (1.0, 3) and cheapest({}, 0, 3, 0.9)[0] == SHARES[0]
+
+
 def test_nearest_neighbours_of_ragged_vectors(spark):
     """The table's commonest length counts, wherever longer and shorter rows stand and if an id has both."""
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(np.random.default_rng(2).normal(size=(40, 8)))]
