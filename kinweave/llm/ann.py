@@ -33,6 +33,8 @@ SHARD, NUMBERS, LEAST = 1 << 16, 1 << 23, 1 << 10
 CELL, WIDTH, BEAM, SAMPLED = 512, 16, 8, 1024
 #: Shares of a shard's cells that a query's first list is taken from, to be measured.
 SHARES = (0.1, 0.2, 0.4, 0.7)
+#: Visits of queries to shards that are shuffled at once.
+VISITS = 1 << 24
 #: Work of a visit to a shard besides the cells, in shards.
 FIXED = 0.5
 #: Queries that the search is measured on by an exact scan, and the recall wanted.
@@ -510,9 +512,15 @@ def nearest_neighbours(vectors: DataFrame, id_col: str, vector_col: str, is_quer
     drop_stored(shards.stored)
     release(spark)
     share, most = cheapest(*measured(graphs.where("query_id is not null"), truth), len(shards.pivots), recall)
-    near = search(graphs.where("query_id is null").select("shard", "id", "raw", "near"), shards.visits(queries, most), kind, k, share, shards.tasks)
+    graph, batches = graphs.where("query_id is null").select("shard", "id", "raw", "near"), max(1, -(-queries.count() * most // VISITS))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    found = stored(near.withColumn("rank", rank).where(F.col("rank") <= k + 1).select("query_id", "id", "score"))
+    found = None
+    for batch in range(batches):
+        part = queries.where(F.pmod(F.xxhash64("query_id", F.lit("batch")), F.lit(batches)) == batch)
+        near = search(graph, shards.visits(part, most), kind, k, share, shards.tasks)
+        near = stored(near.withColumn("rank", rank).where(F.col("rank") <= k + 1).select("query_id", "id", "score"))
+        found = near if found is None else found.unionByName(near)
+        release(spark)
     drop_stored(graphs)
     release(spark)
     every = found.join(members, "id", "left").select(F.col("query_id").alias("node"), F.coalesce("member", "id").alias("other"), "score")

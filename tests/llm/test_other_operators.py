@@ -86,6 +86,19 @@ def test_nearest_neighbours_in_clusters(spark):
     assert len(got) == 44 and hit >= 0.9 * 220
 
 
+def test_nearest_neighbours_in_batches(spark, monkeypatch):
+    """Queries searched for in several batches, so that their visits fit the disk, get the same rows."""
+    x = np.random.default_rng(9).normal(size=(2500, 8))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+
+    def rows():
+        return sorted(map(tuple, nearest_neighbours(df, "vec_id", "embedding", F.col("id") % 50 == 0).collect()))
+
+    whole = rows()
+    monkeypatch.setattr("kinweave.llm.ann.VISITS", 20)
+    assert len(whole) == 250 and rows() == whole
+
+
 def test_neighbour_graph_and_search():
     """Rounds better the first lists; going along the lists betters what the nearest cells hold; all cells are exact."""
     x = np.random.default_rng(3).normal(size=(6000, 24))
